@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Query keys that only track the reader.
 TRACKING_KEYS = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "fbclid", "gclid")
 
-_EDGE = r"^[\x00-\x20\s  -   　]+|[\x00-\x20\s  -   　]+$"
+_EDGE = r"^[\x00-\x20\s\u00a0\u2000-\u200a\u202f\u205f\u3000]+|[\x00-\x20\s\u00a0\u2000-\u200a\u202f\u205f\u3000]+$"
 
 
 def parts(url: Column) -> dict[str, Column]:
