@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.llm.looks import form_sql, one_form, same_look_pairs
+from callweave.llm.terms import term_frequencies
 from callweave.llm.tokens import encode_column
+from callweave.operators.packed import Splitter, shared_codes
 from callweave.tables import load
 
 
@@ -23,6 +25,23 @@ def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_form(load(spark, sf_dir, "raw_records"), "record_id", ["title", "summary"])
 
 
+def p4_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every keyword in lower case with its occurrences, its records and its mark."""
+    records = load(spark, sf_dir, "raw_records")
+    codes, bits = shared_codes(records, "publisher_keywords"), 20
+
+    def reader():
+        split = Splitter(codes.value, bits)
+        return lambda entries: [k.lower() for k in split(entries)]
+
+    return term_frequencies(records, "publisher_keywords", reader)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms too rare or too common to be a topic."""
+    return p4_terms(spark, sf_dir).where("mark is not null").select("term", "mark")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of each document."""
     return encode_column(load(spark, sf_dir, "documents"), "doc_id", "text")
@@ -31,6 +50,8 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_forms": p2_forms,
+    "p4_found": p4_found,
+    "p4_terms": p4_terms,
     "p7_ids": p7_ids,
 }
 
