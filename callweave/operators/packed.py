@@ -177,34 +177,48 @@ def cheapest(options: list[tuple[str, ...]], codes: np.ndarray, code_bits: int)
     return min(options, key=lambda p: (round(sum(_bits(v, codes, code_bits) for v in p) + _DIALECT_BITS * len(p), 3), -len(p), p))
 
 
+class Splitter:
+    """Values of entries by their cheapest parse; a worker's memory of the entries it has met."""
+
+    def __init__(self, codes: bytes, code_bits: int):
+        self.codes, self.code_bits = np.frombuffer(codes, np.uint8), code_bits
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def __call__(self, entries: list[str | None] | None) -> list[str]:
+        out: list[str] = []
+        known = self.known
+        for entry in entries or ():
+            if entry is None:
+                continue
+            if (own := known.get(entry)) is None:
+                if len(known) > CACHED:
+                    known.clear()
+                own = known[entry] = cheapest(parses(entry), self.codes, self.code_bits)
+            out += own
+        return out
+
+
+def shared_codes(df: DataFrame, column: str, code_bits: int = 20):
+    """A broadcast of the value codes of ``column``: ROWS * 2 ** code_bits bytes."""
+    return df.sparkSession.sparkContext.broadcast(value_codes(df, column, code_bits))
+
+
 def unpack(df: DataFrame, id_column: str, column: str, code_bits: int = 20) -> DataFrame:
     """One row for each value of ``column`` (array of strings): ``id_column``, ``pos`` int, ``keyword``.
 
     Two passes over the column, no shuffle but that of the slot counts.
     """
-    spark = df.sparkSession
-    table = value_codes(df, column, code_bits)
-    shared = spark.sparkContext.broadcast(table)  # ROWS * 2 ** code_bits bytes
+    shared = shared_codes(df, column, code_bits)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = np.frombuffer(shared.value, np.uint8)
-        known: dict[str, tuple[str, ...]] = {}
+        values_of = Splitter(shared.value, code_bits)
         for batch in batches:
             rows, places, values = [], [], []
             for row, entries in enumerate(batch.column(1).to_pylist()):
-                at = 0
-                for entry in entries or ():
-                    if entry is None:
-                        continue
-                    if (own := known.get(entry)) is None:
-                        if len(known) > CACHED:
-                            known.clear()
-                        own = known[entry] = cheapest(parses(entry), codes, code_bits)
-                    if own:
-                        values.extend(own)
-                        rows.extend([row] * len(own))
-                        places.extend(range(at, at + len(own)))
-                        at += len(own)
+                own = values_of(entries)
+                values += own
+                rows += [row] * len(own)
+                places += range(len(own))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()), pa.array(values, pa.string())],
                 [id_column, "pos", "keyword"],
