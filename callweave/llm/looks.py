@@ -41,42 +41,76 @@ LOOK_ALIKES = {
 INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff9-\ufffb\U000e0001-\U000e007f\U000e0100-\U000e01ef"
 _BLANKS = "\t\n\x0b\x0c\r\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _HYPHENS = "‐‑"
+_IT = "\0it\0"
 _KINDS = ("<wide>", "<narrow>", "<font>", "<compat>")
 
 
-def tables() -> tuple[str, str, dict[str, str]]:
-    """(from, to, longer): the one-to-one mapping as two strings, and the characters that stand for several."""
-    single = dict.fromkeys(_BLANKS, " ") | dict.fromkeys(_HYPHENS, "-")
+_BLOCKS = {  # what is mapped by one table each
+    "marks": ((0x2010, 0x2070), (0x2100, 0x2190), (0xFB00, 0xFB07)),
+    "wide": ((0x3000, 0x3100), (0xFE10, 0xFE70), (0xFF00, 0xFFF0)),
+    "font": ((0x1D400, 0x1D800),),
+}
+
+
+def tables() -> tuple[dict[str, dict[str, str]], dict[str, str]]:
+    """The one-to-one mappings by block, and the characters that stand for several."""
+    single: dict[str, dict[str, str]] = {}
     longer: dict[str, str] = {}
-    for block in ((0x2010, 0x2070), (0x2100, 0x2190), (0x3000, 0x3100), (0xFB00, 0xFB07), (0xFE10, 0xFE70), (0xFF00, 0xFFF0), (0x1D400, 0x1D800)):
-        for ch in map(chr, range(*block)):
+    for name, blocks in _BLOCKS.items():
+        own = single[name] = {}
+        for ch in (chr(i) for block in blocks for i in range(*block)):
             kind = unicodedata.decomposition(ch).split(" ")[0]
             plain = unicodedata.normalize("NFKC", ch)
-            if ch in single or kind not in _KINDS and not 0xFE10 <= ord(ch) < 0xFE70 or plain == ch or plain.startswith(" "):
+            if kind not in _KINDS and not 0xFE10 <= ord(ch) < 0xFE70 or plain == ch or plain.startswith(" ") or ch in _HYPHENS:
                 continue
             if len(plain) == 1:
-                single[ch] = plain
+                own[ch] = plain
             else:
                 longer[ch] = plain
-    for ch, plain in LOOK_ALIKES.items():
-        single[ch] = plain
-    for ch, plain in list(single.items()):
-        single[ch] = LOOK_ALIKES.get(plain, plain)
-    single["ﾞ"], single["ﾟ"] = "\u3099", "\u309a"
-    return "".join(single), "".join(single.values()), longer
-
-
-def form_sql(column: str) -> str:
-    """The SQL expression of the form of ``column``; null where nothing is left."""
-    q = lambda s: "'" + s.replace("'", "''") + "'"
-    old, new, longer = tables()
-    # Letters, digits and punctuation of ASCII need no mapping.
-    out = f"regexp_replace({column}, {q('[' + INVISIBLE + ']')}, '', 'g')"
-    out = f"translate({out}, {q(old)}, {q(new)})"
+    single["marks"] |= dict.fromkeys(_HYPHENS, "-")
+    single["wide"] |= {"\uff9e": "\u3099", "\uff9f": "\u309a"}  # the half-width voicing marks, which combine
+    single["looks"] = LOOK_ALIKES
+    return single, longer
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _class(characters: str) -> str:
+    """A character class of exactly these characters."""
+    return _quote("[" + "".join("\\" + c if c in "\\]^-[" else c for c in characters) + "]")
+
+
+def _layers() -> list[tuple[str, str]]:
+    """(class of characters that need it, expression over _IT), in order."""
+    single, longer = tables()
+    spelled = _IT
     for ch, plain in longer.items():
-        out = f"replace({out}, {q(ch)}, {q(plain)})"
-    out = f"CASE WHEN regexp_full_match({column}, '[\\x20-\\x7E]*') THEN {column} ELSE nfc_normalize({out}) END"
-    return f"nullif(trim({out}), '')"
+        spelled = f"replace({spelled}, {_quote(ch)}, {_quote(plain)})"
+    shift = {name: f"translate({_IT}, {_quote(''.join(own))}, {_quote(''.join(own.values()))})" for name, own in single.items()}
+    unseen, blank = _quote(f"[{INVISIBLE}]"), _class(_BLANKS)
+    return [
+        (unseen, f"regexp_replace({_IT}, {unseen}, '', 'g')"),
+        (blank, f"regexp_replace({_IT}, {blank}, ' ', 'g')"),
+        *((_class("".join(single[n])), shift[n]) for n in ("wide", "font", "marks")),
+        (_class("".join(longer)), spelled),
+        (_class("".join(single["looks"])), shift["looks"]),
+        (_quote(r"[^\x00-\x7F]"), f"nfc_normalize({_IT})"),
+    ]
+
+
+def forms_sql(source: str, fields: list[str], keep: list[str]) -> str:
+    """A query of the columns ``keep`` and, as ``form_<field>``, the form of each field of the table ``source``.
+
+    One nested query for each mapping; a text meets a mapping only if it holds a character that needs it.
+    """
+    kept = ", ".join(f'"{k}"' for k in keep)
+    sql = f"SELECT {kept}, " + ", ".join(f'"{f}" AS "form_{f}"' for f in fields) + f" FROM {source}"
+    for needs, change in _layers():
+        one = lambda f: f'CASE WHEN regexp_matches("form_{f}", {needs}) THEN {change.replace(_IT, chr(34) + 'form_' + f + chr(34))} ELSE "form_{f}" END AS "form_{f}"'  # noqa: B023, E731
+        sql = f"SELECT {kept}, " + ", ".join(map(one, fields)) + f" FROM ({sql})"
+    return f"SELECT {kept}, " + ", ".join(f"nullif(trim(\"form_{f}\"), '') AS \"form_{f}\"" for f in fields) + f" FROM ({sql})"
 
 
 def _connect():
@@ -105,20 +139,15 @@ def _run_sql(sql: str):
 def one_form(df: DataFrame, id_column: str, fields: list[str]) -> DataFrame:
     """``id_column`` and each of ``fields`` in its form. No shuffle."""
     kind = df.schema[id_column].dataType.simpleString()
-    sql = f'SELECT "{id_column}", ' + ", ".join(f'{form_sql(_name(f))} AS "{f}"' for f in fields) + " FROM batch"
-    schema = ", ".join([f"`{id_column}` {kind}", *(f"`{f}` string" for f in fields)])
-    return df.select(id_column, *fields).mapInArrow(_run_sql(sql), schema)
-
-
-def _name(field: str) -> str:
-    return f'"{field}"'
+    sql = f'SELECT "{id_column}", ' + ", ".join(f'"form_{f}" AS "{f}"' for f in fields) + f" FROM ({forms_sql('batch', fields, [id_column])})"
+    return df.select(id_column, *fields).mapInArrow(_run_sql(sql), ", ".join([f"`{id_column}` {kind}", *(f"`{f}` string" for f in fields)]))
 
 
 def look_hashes(df: DataFrame, id_column: str, fields: list[str]) -> DataFrame:
     """(field_name, id, form, raw): 128-bit hashes of the form and of the text of each non-blank value."""
     kind = df.schema[id_column].dataType.simpleString()
-    one = lambda f: f"SELECT '{f}' AS field_name, \"{id_column}\" AS id, unhex(md5({form_sql(_name(f))})) AS form, unhex(md5({_name(f)})) AS raw FROM batch"
-    sql = "SELECT * FROM (" + " UNION ALL ".join(map(one, fields)) + ") WHERE form IS NOT NULL"
+    one = lambda f: f"SELECT '{f}' AS field_name, \"{id_column}\" AS id, unhex(md5(\"form_{f}\")) AS form, unhex(md5(\"{f}\")) AS raw FROM forms WHERE \"form_{f}\" IS NOT NULL"
+    sql = f"WITH forms AS MATERIALIZED ({forms_sql('batch', fields, [id_column, *fields])}) " + " UNION ALL ".join(map(one, fields))
     return df.select(id_column, *fields).mapInArrow(_run_sql(sql), f"field_name string, id {kind}, form binary, raw binary")
 
 

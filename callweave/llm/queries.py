@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm.looks import form_sql, one_form, same_look_pairs
+from callweave.llm.looks import forms_sql, one_form, same_look_pairs
 from callweave.llm.terms import term_frequencies
 from callweave.llm.tokens import encode_column
 from callweave.operators.packed import Splitter, shared_codes
@@ -55,8 +55,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_ids": p7_ids,
 }
 
-_FORMS = "SELECT 'title' AS field_name, record_id, title AS raw, {t} AS form FROM raw_records UNION ALL SELECT 'summary', record_id, summary, {s} FROM raw_records".format(t=form_sql("title"), s=form_sql("summary"))
+_FORMS = forms_sql("raw_records", ["title", "summary"], ["record_id", "title", "summary"])
+_LONG = f"SELECT 'title' AS field_name, record_id, title AS raw, form_title AS form FROM ({_FORMS}) UNION ALL SELECT 'summary', record_id, summary, form_summary FROM ({_FORMS})"
 ORACLE: dict[str, str] = {
-    "p2_found": f"WITH f AS ({_FORMS}) SELECT a.field_name, a.record_id AS record_id_a, b.record_id AS record_id_b FROM f a JOIN f b ON a.field_name = b.field_name AND a.form = b.form AND a.record_id < b.record_id AND a.raw <> b.raw",
-    "p2_forms": f"SELECT record_id, {form_sql('title')} AS title, {form_sql('summary')} AS summary FROM raw_records",
+    "p2_found": f"WITH f AS ({_LONG}) SELECT a.field_name, a.record_id AS record_id_a, b.record_id AS record_id_b FROM f a JOIN f b ON a.field_name = b.field_name AND a.form = b.form AND a.record_id < b.record_id AND a.raw <> b.raw",
+    "p2_forms": f"SELECT record_id, form_title AS title, form_summary AS summary FROM ({_FORMS})",
 }
