@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callweave.llm.canon import map_values
 from callweave.llm.looks import forms_sql, one_form, same_look_pairs
 from callweave.llm.terms import term_frequencies
 from callweave.llm.tokens import encode_column
@@ -42,6 +43,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_terms(spark, sf_dir).where("mark is not null").select("term", "mark")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watched journal that each freely typed journal means, -1 for none."""
+    reference = load(spark, sf_dir, "watched_journals").select(F.col("journal_id").alias("id"), "name", "publisher", "aliases")
+    found = map_values(load(spark, sf_dir, "raw_records"), "record_id", "journal", "journals", reference)
+    return found.withColumnRenamed("id", "journal_id")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of each document."""
     return encode_column(load(spark, sf_dir, "documents"), "doc_id", "text")
@@ -52,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_forms": p2_forms,
     "p4_found": p4_found,
     "p4_terms": p4_terms,
+    "p6_found": p6_found,
     "p7_ids": p7_ids,
 }
 
