@@ -199,7 +199,7 @@ class Matcher:
     """The best entries for typed values, with a worker's memory of values."""
 
     def __init__(self, entries: list[dict], remembered: int = 200_000):
-        keys = [(plain(t), e["id"]) for e in entries for t in [e["name"], *(e["aliases"] or [])] if t]
+        keys = [(plain(t), e["id"]) for e in entries for t in [e["name"], *([] if e["aliases"] is None else e["aliases"])] if t]
         self.tree = Tree(keys)
         self.publishers = frozenset(plain(e["publisher"]) for e in entries if e["publisher"])
         self.known: dict[str, tuple[int, list[int]]] = {}

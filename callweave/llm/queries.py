@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.llm.canon import map_values
+from callweave.llm.cut import cut_rates, find_cut
 from callweave.llm.looks import forms_sql, one_form, same_look_pairs
 from callweave.llm.terms import term_frequencies
 from callweave.llm.tokens import encode_column
@@ -15,6 +16,20 @@ from callweave.operators.packed import Splitter, shared_codes
 from callweave.tables import load
 
 
+def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_cut(load(spark, sf_dir, "raw_records"), "record_id", "source_key", "summary", "title")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose summary lost its end."""
+    return _cut(spark, sf_dir).where("is_cut").select("record_id")
+
+
+def p1_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of each source's non-empty summaries are cut."""
+    return cut_rates(_cut(spark, sf_dir)).withColumnRenamed("source", "source_key")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of rows whose titles or summaries look the same and are not the same string."""
     pairs = same_look_pairs(load(spark, sf_dir, "raw_records"), "record_id", ["title", "summary"])
@@ -56,6 +71,8 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_rates": p1_rates,
     "p2_found": p2_found,
     "p2_forms": p2_forms,
     "p4_found": p4_found,
