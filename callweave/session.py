@@ -5,9 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -30,6 +33,20 @@ def local_session(cores: int = 8, partitions: int = 8, **conf: str) -> SparkSess
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that Python workers can import it anywhere."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    packed = Path(tempfile.mkdtemp(prefix="callweave-")) / "callweave.zip"
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(home.rglob("*.py")):
+            z.write(path, path.relative_to(home.parent))
+    context.addPyFile(str(packed))
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
