@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callweave.llm.canon import map_values
 from callweave.llm.cut import cut_rates, find_cut
 from callweave.llm.looks import forms_sql, one_form, same_look_pairs
+from callweave.llm.residue import mark_residue, without_residue
 from callweave.llm.terms import term_frequencies
 from callweave.llm.tokens import encode_column
 from callweave.operators.packed import Splitter, shared_codes
@@ -70,6 +71,16 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_column(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are template residue, filler, error pages or demands for scripts."""
+    return mark_residue(load(spark, sf_dir, "documents"), "doc_id", "text").where("is_residue").select("doc_id")
+
+
+def p9_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without residue."""
+    return without_residue(load(spark, sf_dir, "documents"), "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_rates": p1_rates,
@@ -79,6 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_terms": p4_terms,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
+    "p9_found": p9_found,
+    "p9_corpus": p9_corpus,
 }
 
 _FORMS = forms_sql("raw_records", ["title", "summary"], ["record_id", "title", "summary"])
