@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from callweave.llm.canon import map_values
 from callweave.llm.cut import cut_rates, find_cut
 from callweave.llm.looks import forms_sql, one_form, same_look_pairs
+from callweave.llm.mix import mixture
 from callweave.llm.residue import mark_residue, without_residue
 from callweave.llm.terms import term_frequencies
-from callweave.llm.tokens import encode_column
+from callweave.llm.tokens import count_tokens, encode_column
 from callweave.operators.packed import Splitter, shared_codes
+from callweave.session import settle
 from callweave.tables import load
 
 
@@ -71,6 +73,21 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_column(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sized = settle(count_tokens(load(spark, sf_dir, "documents"), ["doc_id", "source"], "text"))
+    return mixture(sized, load(spark, sf_dir, "mix_targets"))
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document of the mixture with its rate and its copies."""
+    return _mixture(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each targeted source its target share and the share that it really got."""
+    return _mixture(spark, sf_dir)[1]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that are template residue, filler, error pages or demands for scripts."""
     return mark_residue(load(spark, sf_dir, "documents"), "doc_id", "text").where("is_residue").select("doc_id")
@@ -90,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_terms": p4_terms,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
     "p9_found": p9_found,
     "p9_corpus": p9_corpus,
 }
