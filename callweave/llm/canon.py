@@ -35,6 +35,7 @@ TAILS = re.compile(
     re.I,
 )
 _UNSEEN = re.compile(f"[{INVISIBLE}]")
+_HAS_ALIKE = re.compile("[" + "".join(LOOK_ALIKES) + "]")
 _ALIKE = str.maketrans(LOOK_ALIKES)
 _BRACKET = re.compile(r"\s*[(\[（［【][^()\[\]（）［］【】]*[)\]）］】]\s*$")
 _QUOTES = re.compile(r"^[«»\"'“”„‘’‹›「」『』]+|[«»\"'“”„‘’‹›「」『』]+$")
@@ -46,7 +47,10 @@ NONE = -1
 
 def clean(text: str) -> str:
     """Without what cannot be seen, in compatibility form, look-alike letters made Latin, outer blanks removed."""
-    return unicodedata.normalize("NFKC", _UNSEEN.sub("", text)).translate(_ALIKE).strip()
+    if text.isascii():
+        return text.strip()
+    text = unicodedata.normalize("NFKC", _UNSEEN.sub("", text))
+    return (text.translate(_ALIKE) if _HAS_ALIKE.search(text) else text).strip()
 
 
 def plain(text: str) -> str:

@@ -59,9 +59,22 @@ _MONTHS = frozenset("January February March April May June July August September
 _TOKEN = re.compile(r"https?://\S+|[A-Za-z0-9][\w\-]*(?:\.[A-Za-z][\w\-]+){2,}|[぀-ヿ㐀-鿿豈-﫿]|[^\W\d_぀-ヿ㐀-鿿豈-﫿]+|\d+|[^\w\s]")
 
 
+class _Forms(dict):
+    """The form of a token: numbers as so many noughts, months alike."""
+
+    def __missing__(self, t: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        form = self[t] = "0" * min(len(t), 6) if t.isdigit() else "May" if t in _MONTHS else t
+        return form
+
+
+_forms = _Forms()
+
+
 def tokens(text: str) -> list[str]:
     """Words, numbers (as so many noughts), single characters of scripts without blanks, and marks."""
-    return ["0" * min(len(t), 6) if t.isdigit() else "May" if t in _MONTHS else t for t in _TOKEN.findall(text)]
+    return list(map(_forms.__getitem__, _TOKEN.findall(text)))
 
 
 def _id(token: str) -> int:
@@ -87,6 +100,19 @@ def run_hashes(ids: np.ndarray) -> dict[int, np.ndarray]:
     return out
 
 
+def last_runs(last: list[str]) -> list[int | None]:
+    """``run_hashes`` for the run at the end of a few tokens, as signed numbers; null where there are too few."""
+    out, h, full = [], 0, (1 << 64) - 1
+    for n in range(1, max(RUNS) + 1):
+        if n <= len(last):
+            h = (h + (_id(last[-n]) ^ (n * 0x9E3779B97F4A7C15 & full)) * (0xBF58476D1CE4E5B9 + 2 * n)) & full
+            h ^= h >> 29
+        if n in RUNS:
+            sealed = (h * 0x94D049BB133111EB + n) & full
+            out.append(None if n > len(last) else sealed - (1 << 64) if sealed >> 63 else sealed)
+    return out
+
+
 def begun_hashes(begun: np.ndarray, before: np.ndarray, before2: np.ndarray) -> dict[int, np.ndarray]:
     """The hashes of runs of two and three whose last word is ``begun``."""
     h = _mix(_mix(np.zeros(len(begun), np.uint64), begun, 1), before, 2)
@@ -94,7 +120,8 @@ def begun_hashes(begun: np.ndarray, before: np.ndarray, before2: np.ndarray) ->
 
 
 def _verdict(text: str) -> str:
-    """'cut', 'whole' or 'ask'."""
+    """'cut', 'whole' or 'ask', by what stands at the end."""
+    text = text[-400:]
     if OMITTED.search(text) and not (_BARE_MORE.search(text) and not re.search(r"(?:\.\.\.|\]|\))\s*(?:read\s+)?more|\((?:read\s+)?more|read\s+more$", text, re.I)):
         return "cut"
     if ABBREVIATIONS.search(text):
@@ -125,8 +152,7 @@ def ends(df: DataFrame, id_column: str, source: str, text: str, title: str) -> D
                 if verdict == "ask":
                     last = tokens(own[-400:])[-max(RUNS) :] or ["�"]
                     word = last[-1]
-                    h = run_hashes(np.array([_id(t) for t in last], np.uint64))
-                    hashes = [int(h[n][-1].astype(np.int64)) if n <= len(last) else None for n in RUNS]
+                    hashes = last_runs(last)
                 rows.append(row)
                 verdicts.append(verdict)
                 digests.append(xxhash.xxh3_64_intdigest(own) - (1 << 63))
