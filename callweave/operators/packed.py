@@ -37,7 +37,8 @@ LABEL = re.compile(
 _SINGLE = "".join(d for d in DELIMITERS if len(d) == 1)
 _SPACED = {" / ": re.compile(r"(?:(?<=\s)|^)/|/(?=\s|$)"), " : ": re.compile(r"(?<=\s):")}
 _MARKS = re.compile("[" + re.escape(_SINGLE + "".join(QUOTES) + "".join(QUOTES.values())) + r"()\[\]]|\s[/:]|/\s|^/|/$")
-_BLANKS = re.compile(r"\s+")
+_BLANKS, _ODD_BLANKS = re.compile(r"\s+"), re.compile(r"\s\s|[^\S ]")
+_ANY_QUOTE = re.compile("[" + "".join(QUOTES) + "]")
 _BRACKETS = re.compile(r"\([^()]*\)")
 _NUMBER = re.compile(r"(?<=\d),(?=\d{3}(?!\d))")
 _ALL = re.compile("[" + re.escape(_SINGLE) + r"]|(?:(?<=\s)|^)/|/(?=\s|$)|(?<=\s):")
@@ -75,12 +76,13 @@ def _hide(match: re.Match) -> str:
 def parse(line: str, delimiter: str | None, quoting: bool, mixed: bool = False) -> tuple[str, ...]:
     """The values of ``line``; ``delimiter`` None splits nowhere, ``mixed`` at every delimiter."""
     text = line
-    if quoting:
+    if quoting and _ANY_QUOTE.search(text):
         text = _QUOTED[None if mixed or delimiter is None else delimiter].sub(_hide, text)
     if "(" in text:
         text = _BRACKETS.sub(_hide, text)
     if "," in text:
         text = _NUMBER.sub(_hide, text)
+    hidden = text is not line
     if mixed:
         pieces = _ALL.split(text)
     elif delimiter is None:
@@ -91,37 +93,52 @@ def parse(line: str, delimiter: str | None, quoting: bool, mixed: bool = False)
         pieces = text.split(delimiter)
     out = []
     for piece in pieces:
-        piece = piece.translate(_SHOW).strip()
-        if quoting:
-            piece = _undo(piece)
-        if piece := _BLANKS.sub(" ", piece).strip():
-            out.append(piece)
+        piece = (piece.translate(_SHOW) if hidden else piece).strip()
+        if quoting and piece[:1] in QUOTES:
+            piece = _undo(piece).strip()
+        if piece:
+            out.append(_BLANKS.sub(" ", piece) if _ODD_BLANKS.search(piece) else piece)
     return tuple(out)
 
 
 def _line(entry: str) -> tuple[str, bool]:
     """The entry without label, and whether it is the printed form of a list."""
-    text = LABEL.sub("", entry.strip(), count=1).strip()
+    text = entry.strip()
+    if text[:1] in "kKiIsSmMpPキ":
+        text = LABEL.sub("", text, count=1).strip()
     if len(text) > 1 and text[0] == "[" and text[-1] == "]" and text[1:-1].strip()[:1] in ('"', "'"):
         return text[1:-1].strip(), True
     return text, False
 
 
-def parses(entry: str) -> list[tuple[str, ...]]:
-    """The distinct parses of an entry, the finest first."""
+def finest(entry: str) -> tuple[str, ...]:
+    """The parse at every delimiter, quotes and brackets kept whole; empty where nothing is left."""
+    return _begin(entry)[1]
+
+
+def _begin(entry: str) -> tuple[str | None, tuple[str, ...]]:
+    """The entry's line if it has other parses than the finest, and that one."""
     text, listed = _line(entry)
     if listed:
-        return [tuple(p.replace("\\'", "'").replace('\\"', '"') for p in parse(text, ",", True))]
+        return None, tuple(p.replace("\\'", "'").replace('\\"', '"') for p in parse(text, ",", True))
     if not _MARKS.search(text):
         piece = _BLANKS.sub(" ", text).strip()
-        return [(piece,)] if piece else []
-    quoting = (True, False) if any(q in text for q in QUOTES) else (True,)
+        return None, (piece,) if piece else ()
+    found = parse(text, None, True, mixed=True)
+    return text if found else None, found
+
+
+def parses(entry: str) -> list[tuple[str, ...]]:
+    """The distinct parses of an entry, the finest first."""
+    text, best = _begin(entry)
+    if text is None:
+        return [best] if best else []
+    found = {best: None}
     held = [d for d in DELIMITERS if d.strip(" ") in text]
-    found = dict.fromkeys([parse(text, None, True, mixed=True)])
-    if () in found:
-        return []
+    single = held if len(held) > 1 else ()  # with one delimiter the finest parse is its own
+    quoting = (True, False) if any(q in text for q in QUOTES) and parse(text, None, False, mixed=True) != best else (True,)
     for q in quoting:
-        for d in (None, *held):
+        for d in (None, *single):
             found[parse(text, d, q)] = None
         if not q:
             found[parse(text, None, False, mixed=True)] = None
@@ -146,8 +163,7 @@ def value_codes(df: DataFrame, column: str, code_bits: int = 20) -> bytes:
                 if (own := known.get(entry)) is None:
                     if len(known) > CACHED:
                         known.clear()
-                    best = parses(entry)
-                    own = known[entry] = [s for v in best[0] for s in _slots(v, code_bits)] if best else []
+                    own = known[entry] = [s for v in finest(entry) for s in _slots(v, code_bits)]
                 held += own
             np.add.at(slots, held, 1)
         used = np.flatnonzero(slots)
