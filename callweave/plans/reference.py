@@ -669,3 +669,60 @@ def source_keys(spark, d):
     each = load(spark, d, "raw_records").select("source_key").unionByName(load(spark, d, "call_snapshots").select("source_key")).groupBy("source_key").agg(F.count("*").alias("n"))
     unknown = load(spark, d, "raw_records").select("source_key").where("source_key is not null").distinct().join(known, "source_key", "left_anti").withColumn("n", F.lit(-1).cast("long"))
     return known.join(each, "source_key", "left").select("source_key", F.coalesce("n", F.lit(0)).alias("n")).unionByName(unknown)
+
+
+# -- whole runs, streams and connectors ------------------------------------------------------------------------------
+@query("ref_migrate", f"SELECT id, CASE WHEN deadline IS NOT NULL THEN 'listed' WHEN deadline_status IN ('listed','not_listed','not_checked') THEN deadline_status ELSE 'not_checked' END AS deadline_status, array_to_string(list_sort(list_distinct(CASE WHEN len(journals) > 0 THEN journals ELSE [journal] END)), '|') AS journals, topics_method FROM collections")
+def migrated(spark, d):
+    from callweave.operators.migrate import migrate
+
+    return migrate(load(spark, d, "collections")).select("id", "deadline_status", joined(F.array_sort("journals")).alias("journals"), "topics_method")
+
+
+@query("ref_ingest_run")
+def ingest_run(spark, d):
+    from callweave.plans.ingest import ingest
+
+    run = ingest(load(spark, d, "raw_records"), load(spark, d, "collections"), load(spark, d, "watched_journals"), KEYWORDS, RULES, today())
+    return run.current.select("id", "title", "deadline", "status", "first_seen", joined("domains").alias("domains"), joined("topics").alias("topics"))
+
+
+@query("ref_r1_r3_stream_upsert", f"""{_ADOPT.replace('FROM collections', 'FROM (SELECT * FROM collections WHERE false)')}
+ SELECT id, list({{'s': title}} ORDER BY record_id DESC)[1].s AS title, list(deadline ORDER BY record_id DESC) FILTER (WHERE deadline IS NOT NULL)[1] AS deadline, coalesce(list(status ORDER BY record_id DESC) FILTER (WHERE status <> 'unknown')[1], 'unknown') AS status FROM (SELECT *, fresh AS id FROM (SELECT * EXCLUDE (id) FROM a)) GROUP BY id""")
+def stream_upsert(spark, d):
+    import uuid
+
+    from callweave.session import shared_folder
+    from callweave.streaming.calls import stored_table, upsert_stream
+
+    folder = f"{shared_folder(spark)}/callweave-stream-{uuid.uuid4().hex}"
+    raw = load(spark, d, "raw_records")
+    raw.write.parquet(f"{folder}/arrived")
+    stream = spark.readStream.schema(raw.schema).parquet(f"{folder}/arrived")
+    key = url.canonical_url(F.col("url"))
+    shaped = stream.select(ids.stable_id(F.col("source_key"), key).alias("id"), "title", "deadline", text.status_of(F.col("status")).alias("status"), "record_id")
+    upsert_stream(shaped, f"{folder}/table", f"{folder}/checkpoint", "record_id").awaitTermination()
+    return stored_table(spark, f"{folder}/table", shaped.drop("record_id").schema)
+
+
+_PAGES = {
+    "nature": ("https://www.nature.example/x", '<article><h3><a href="/collections/abcdefg?utm_source=x">Embodied cognition in robots</a></h3><p data-test="status">Submission status: Open</p><p data-test="end-date">Deadline: 3 March 2027</p></article><article><a href="https://evil.org/collections/abc">A foreign collection card</a></article>'),
+    "sciencedirect": ("https://sci.example/c", '<ul><li class="publication"><a href="/special-issue/12345/x">Haptics for care homes</a><p class="publication-text">Journal of Touch • open access</p> Submission deadline: 1 May 2026</li></ul>'),
+    "aps": ("https://aps.example/p", "<h2>Journal of Balance*</h2><ul><li><a href='/a'>Call one about balance</a> Deadline: March 3, 2027</li><li><a href='/b'>Call two about posture</a> submit anytime</li></ul>"),
+    "fujipress": ("https://fuji.example/f", "<h3>特集：触覚の科学</h3><p>締切 2027年3月4日</p><a href='/s1'>link</a>"),
+}
+
+
+@query("ref_c1_c10_c14_connectors", """
+SELECT * FROM (VALUES ('nature', 'Embodied cognition in robots', 'https://nature.example/collections/abcdefg', 'Fallback', 'open', DATE '2027-03-03'),
+ ('sciencedirect', 'Haptics for care homes', 'https://sci.example/special-issue/12345/x', 'Journal of Touch', 'closed', DATE '2026-05-01'),
+ ('aps', 'Call one about balance', 'https://aps.example/a', 'Journal of Balance', 'open', DATE '2027-03-03'), ('aps', 'Call two about posture', 'https://aps.example/b', 'Journal of Balance', 'open', NULL),
+ ('fujipress', '特集：触覚の科学', 'https://fuji.example/s1', 'Fallback', 'open', DATE '2027-03-04')) AS t(source_key, title, url, journal, status, deadline)""")
+def connectors(spark, d):
+    from callweave.sources.connectors import run_sources
+    from callweave.tables import ship
+
+    ship(spark)
+    sources = spark.createDataFrame([(k, u, "Publisher", "Fallback", "collection", [u.split("/")[2]]) for k, (u, _) in _PAGES.items()], "source_key string, url string, publisher string, journal string, collection_type string, allowed_hosts array<string>")
+    pages = {k: spark.createDataFrame([(k, u, h)], "source_key string, url string, html string") for k, (u, h) in _PAGES.items()}
+    return run_sources(pages, sources, today()).select("source_key", "title", "url", "journal", "status", "deadline")

@@ -18,8 +18,8 @@ from callweave.functions.url import canonical_url, host_allowed, parts
 from callweave.operators.merge import first_writer, last_writer
 from callweave.sources.html import Recipe, page_cards
 
-#: How the status of a card is told: from its text, from its deadline, or not at all.
-BY_TEXT, BY_DEADLINE, UNKNOWN = "text", "deadline", "unknown"
+#: How the status of a card is told: from its text, from its deadline, open unless it says closed, or not at all.
+BY_TEXT, BY_DEADLINE, UNLESS_CLOSED, UNKNOWN = "text", "deadline", "unless closed", "unknown"
 
 # Where each kind of listing keeps its calls, how status is told, and what makes two cards one.
 RECIPES: dict[str, tuple[Recipe, str, tuple[str, ...]]] = {
@@ -33,7 +33,7 @@ RECIPES: dict[str, tuple[Recipe, str, tuple[str, ...]]] = {
     "sciencedirect": (Recipe(card="li.publication, li.js-publication", href=r"/special-issue/\d+", journal="p.publication-text"), BY_DEADLINE, ("url",)),
     "apa": (Recipe(card=".bodyleft li", unwanted=r"^general call|^call for papers$"), BY_DEADLINE, ("url", "title")),
     "royal_society": (Recipe(unit="headings", items="b, strong", wanted=""), BY_DEADLINE, ("title",)),
-    "aps": (Recipe(unit="headings", items="li", carries=r"journal of |american journal|physiological"), BY_TEXT, ("url", "title")),
+    "aps": (Recipe(unit="headings", items="li", carries=r"journal of |american journal|physiological"), UNLESS_CLOSED, ("url", "title")),
     "science_robotics": (Recipe(unit="headings", wanted=r"special issue"), BY_DEADLINE, ("title",)),
     "tandf": (Recipe(card="article, .cfp-item, .call-for-papers, li.result, div.card", title="h2, h3, h4", journal=".journal, .journal-title, [data-journal], strong"), BY_DEADLINE, ("url",)),
     "sage": (Recipe(unit="headings", items="p, li, article", block=r"submission deadline|manuscript deadline|deadline:", carries=r"^(?!.*(?:deadline|call for|sage)).{8,120}$"), BY_DEADLINE, ("url", "title")),
@@ -78,6 +78,7 @@ def records_of(cards: DataFrame, sources: DataFrame, status: str, today: Column,
     told = {
         BY_TEXT: text.status_of(F.coalesce("status_text", "text")),
         BY_DEADLINE: F.when(closed, "closed").otherwise(text.listing_status(F.col("deadline"), today)),
+        UNLESS_CLOSED: F.when(closed, "closed").otherwise("open"),
         UNKNOWN: F.lit("unknown"),
     }[status]
     out = rows.select(
