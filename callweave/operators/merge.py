@@ -102,14 +102,15 @@ def business_key_owner(df: DataFrame, position: str) -> DataFrame:
 def adopt_ids(incoming: DataFrame, stored: DataFrame, new_id: Column, position: str) -> DataFrame:
     """``incoming`` with a column ``id``: the owner of its business key in ``stored``, else of the first incoming row
     that has the key, else ``new_id``."""
-    owner = business_key_owner(stored, position).withColumnRenamed("id", "owner")
-    rows = incoming.withColumn("_new", new_id).join(owner, ["publisher", "publisher_id"], "left")
     keyed = (F.coalesce(F.col("publisher"), F.lit("")) != "") & (F.coalesce(F.col("publisher_id"), F.lit("")) != "")
-    free = rows.where(~keyed).withColumn("id", F.col("_new"))
+    key = F.concat_ws("\0", "publisher", "publisher_id")
+    owner = business_key_owner(stored, position).select(key.alias("_key"), F.col("id").alias("_owner"))
+    # A row without business key gets one of its own, so that such rows spread over all partitions and match nothing.
+    rows = incoming.withColumn("_new", new_id).withColumn("_key", F.when(keyed, key).otherwise(F.concat(F.lit("\0\0"), "_new")))
     # Within the run the first row of a key decides: an aggregate and a join, so that a large key is no window's burden.
-    first = rows.where(keyed & F.col("owner").isNull()).groupBy("publisher", "publisher_id").agg(F.min_by("_new", F.struct(position, "_new")).alias("_first"))
-    bound = rows.where(keyed).join(first, ["publisher", "publisher_id"], "left").withColumn("id", F.coalesce("owner", "_first")).drop("_first")
-    return bound.unionByName(free).drop("_new", "owner")
+    first = rows.where(keyed).groupBy("_key").agg(F.min_by("_new", F.struct(position, "_new")).alias("_first"))
+    names = owner.join(first, "_key", "full_outer").select("_key", F.coalesce("_owner", "_first").alias("_id"))
+    return rows.join(names, "_key", "left").withColumn("id", F.coalesce("_id", "_new")).drop("_new", "_key", "_id")
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, position: str | None = None) -> DataFrame:

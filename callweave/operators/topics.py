@@ -46,7 +46,7 @@ def catalog_matches(df: DataFrame, terms: DataFrame, id_column: str = "id", most
     needles = terms.select("key", "label", "n", F.explode("needles").alias("needle")).withColumn("word", first(F.col("needle"))).where("word <> ''")
     texts = df.select(id_column, text.alias("text")).where("text <> ''")
     worded = texts.select(id_column, "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([a-z0-9]+)"), 1))).alias("word"))
-    found = worded.join(needles, "word").where(F.expr(r"text rlike concat('(?<![a-z0-9])\\Q', needle, '\\E(?![a-z0-9])')"))
+    found = worded.join(needles, "word").where(F.contains("text", "needle")).where(F.expr(r"text rlike concat('(?<![a-z0-9])\\Q', needle, '\\E(?![a-z0-9])')"))
     each = found.groupBy(id_column, "key").agg(F.first("label").alias("label"), F.first("n").alias("n"))
     return each.groupBy(id_column).agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "key", "label"))), lambda s: s["label"]).alias("matches"))
 

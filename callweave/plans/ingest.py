@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callweave.functions import ids, text
 from callweave.functions.arrays import one, ordered_set
 from callweave.functions.dates import deadline_state
+from callweave.functions.plan import once
 from callweave.functions.url import canonical_url
 from callweave.operators import classify, health, merge, publish, topics
 from callweave.session import settle
@@ -29,17 +30,19 @@ class Run:
 def absorb(raw: DataFrame, stored: DataFrame, journals: DataFrame, domains: dict[str, list[str]], rules: list[dict], today: Column, *, position: str, scope: str | None = None, watched_only: bool = False, need_domains: bool = False, open_only: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(accepted, rejected, counters). The order is part of the meaning: scope, journal, identity, classes, domains,
     validation, and last whether closed calls are wanted."""
-    rows = raw.withColumns({"title": text.collapse(F.col("title")), "url": canonical_url(F.col("url")), "source_url": canonical_url(F.col("source_url")), "status": text.status_of(F.col("status"))})
+    plain = {"title": text.collapse(F.col("title")), "url": canonical_url(F.col("url")), "source_url": canonical_url(F.col("source_url")), "status": text.status_of(F.col("status"))}
+    rows = raw.withColumns({name: once(value) for name, value in plain.items()})
     named = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("journal", F.lit("")))
     rows = rows.withColumn("_scope", F.lit(True) if scope is None else named.rlike(f"(?i){scope}"))
     rows = classify.match_watched(rows, "journal", "publisher", journals)
     rows = merge.adopt_ids(rows, stored.withColumn(position, F.lit(-1).cast("long")), ids.stable_id(F.col("source_key"), F.col("url")), position)
     rows = classify.classify(rows, domains, rules)
-    rows = rows.withColumns({
+    made = {
         "journals": ordered_set(one(F.col("journal")), F.col("journals")), "source_keys": ordered_set(F.col("source_keys"), one(F.col("source_key"))),
         "discovered_via": F.coalesce("discovered_via", "source_key"), "deadline_status": deadline_state(F.col("deadline"), F.col("raw_deadline_status")),
         "topics": text.topic_list(F.col("publisher_keywords"), text.TOPIC_ALIASES), "first_seen": today,
-    }).withColumn("topics_method", F.when(F.size("topics") > 0, "publisher").otherwise("none"))
+    }
+    rows = rows.withColumns({name: once(value) for name, value in made.items()}).withColumn("topics_method", F.when(F.size("topics") > 0, "publisher").otherwise("none"))
     checked = settle(rows.withColumn("errors", health.row_errors(list(STORED))).select(*STORED, "errors", "source_key", "watched", "_scope", F.col(position).alias("_pos")))
     wrong = {
         "out_of_scope": ~F.col("_scope"),
