@@ -297,10 +297,11 @@ def limits(asked: DataFrame) -> DataFrame:
     """(source, measure, limit): lengths at which the unended texts of a source pile up.
 
     A length is a limit where it holds, with the one below it (a blank cut away), at least a tenth of the source's
-    distinct unended texts, ten at least, and eight times as many as the lengths near it.
+    distinct unended texts, ten at least, eight times as many as the lengths near it, and their last words differ (texts
+    that all end in a date may be equally long, too).
     """
-    each = asked.select("source", "digest", F.explode(F.create_map(F.lit("chars"), F.col("chars"), F.lit("bytes"), F.col("bytes"))).alias("measure", "size"))
-    sizes = each.groupBy("source", "measure", "size").agg(F.approx_count_distinct("digest", 0.01).alias("n"))
+    each = asked.select("source", "digest", F.coalesce(F.col("runs")[RUNS.index(3)], F.col("runs")[0]).alias("tail"), F.explode(F.create_map(F.lit("chars"), F.col("chars"), F.lit("bytes"), F.col("bytes"))).alias("measure", "size"))
+    sizes = each.groupBy("source", "measure", "size").agg(F.approx_count_distinct("digest", 0.01).alias("n"), F.approx_count_distinct("tail").alias("tails"))
     line = Window.partitionBy("source", "measure").orderBy("size")  # one row for each length that occurs
     near = line.rangeBetween(-12, 12)
     sizes = sizes.withColumns({
@@ -309,7 +310,7 @@ def limits(asked: DataFrame) -> DataFrame:
         "pile": F.col("n") + F.when(F.lag("size").over(line) == F.col("size") - 1, F.lag("n").over(line)).otherwise(0),
     })
     alone = F.col("pile") >= 8 * (F.col("near") - F.col("pile")) / 23
-    return sizes.where((F.col("pile") >= 10) & (F.col("pile") >= 0.1 * F.col("all")) & (F.col("n") >= 0.4 * F.col("pile")) & alone).select("source", "measure", F.col("size").alias("limit"))
+    return sizes.where((F.col("pile") >= 10) & (F.col("pile") >= 0.1 * F.col("all")) & (F.col("n") >= 0.4 * F.col("pile")) & (F.col("tails") >= F.greatest(F.lit(6.0), 0.05 * F.col("pile"))) & alone).select("source", "measure", F.col("size").alias("limit"))
 
 
 def find_cut(df: DataFrame, id_column: str, source: str, text: str, title: str) -> DataFrame:

@@ -127,8 +127,9 @@ def _run_sql(sql: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         con = _connect()
         for whole in batches:
-            for begin in range(0, whole.num_rows, 2048):  # some rows at a time: texts may be long
-                con.register("batch", pa.Table.from_batches([whole.slice(begin, 2048)]))
+            some = max(1, min(2048, int(16e6 // (whole.nbytes / max(1, whole.num_rows) + 1))))  # texts may be long
+            for begin in range(0, whole.num_rows, some):
+                con.register("batch", pa.Table.from_batches([whole.slice(begin, some)]))
                 yield from con.sql(sql).to_arrow_table().to_batches()
                 con.unregister("batch")
         con.close()

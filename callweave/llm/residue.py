@@ -191,8 +191,8 @@ EXEMPLARS: dict[str, tuple[str, ...]] = {
         "Budgets between $500 and $900 per site are typical (see tables [3] and [4]).",
     ),
 }
-#: What a window must hold of an exemplar, and weight of a token that no exemplar has.
-CONTAINED, MENTIONED, OTHER = 0.66, 0.6, 5.0
+#: What an exemplar must hold of a window, and the share of documents that a token without exemplar is taken to be in.
+CONTAINED, MENTIONED, OTHER = 0.66, 0.6, 0.005
 
 
 def _slotted(text: str) -> str:
@@ -233,13 +233,14 @@ class Index:
         self.entries: list[tuple[str, frozenset[str], float]] = []
         self.by_token: dict[str, list[int]] = {}
         self.weight: dict[str, float] = {}
+        self.other = math.log(1 + max(n, 1) / (1 + OTHER * n))
         for label, texts in exemplars.items():
             for text in texts:
                 parts = [_slotted(text)] if label in ("mention", "filler") else windows(text)
                 for part in parts:
                     own = frozenset(window_tokens(part))
                     for t in own:
-                        self.weight[t] = math.log(1 + n / (1 + df.get(t, 0)))
+                        self.weight[t] = math.log(1 + max(n, 1) / (1 + df.get(t, 0)))
                     total = sum(self.weight[t] for t in own)
                     if own:
                         self.entries.append((label, own, total))
@@ -257,7 +258,7 @@ class Index:
         if not found and not slot:
             return "content", len(words)
         weight = self.weight
-        total = sum(weight.get(t, OTHER) for t in held)
+        total = sum(weight.get(t, self.other) for t in held)
         best, score = "content", 0.0
         parts: dict[str, set[str]] = {}
         for i in found:

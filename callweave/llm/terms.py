@@ -70,6 +70,11 @@ class Container(dict):
     """The leaf of a burst trie."""
 
 
+def items() -> Callable[[list | None], list[str]]:
+    """The reader of lists whose items are terms: nulls and empty items are left out."""
+    return lambda values: [v for v in values or () if v]
+
+
 def _batch(rows: list[tuple[str | None, list[str], list[int], list[int]]]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
     kinds = (pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
