@@ -38,6 +38,7 @@ _SINGLE = "".join(d for d in DELIMITERS if len(d) == 1)
 _SPACED = {" / ": re.compile(r"(?:(?<=\s)|^)/|/(?=\s|$)"), " : ": re.compile(r"(?<=\s):")}
 _MARKS = re.compile("[" + re.escape(_SINGLE + "".join(QUOTES) + "".join(QUOTES.values())) + r"()\[\]]|\s[/:]|/\s|^/|/$")
 _BLANKS, _ODD_BLANKS = re.compile(r"\s+"), re.compile(r"\s\s|[^\S ]")
+_LINES = re.compile(r"[\n\t]")
 _ANY_QUOTE = re.compile("[" + "".join(QUOTES) + "]")
 _BRACKETS = re.compile(r"\([^()]*\)")
 _NUMBER = re.compile(r"(?<=\d),(?=\d{3}(?!\d))")
@@ -74,7 +75,8 @@ def _hide(match: re.Match) -> str:
 
 
 def parse(line: str, delimiter: str | None, quoting: bool, mixed: bool = False) -> tuple[str, ...]:
-    """The values of ``line``; ``delimiter`` None splits nowhere, ``mixed`` at every delimiter."""
+    """The values of ``line``; ``delimiter`` None splits nowhere, ``mixed`` at every delimiter. Line ends and tabs outside
+    quotes and brackets are in no value."""
     text = line
     if quoting and _ANY_QUOTE.search(text):
         text = _QUOTED[None if mixed or delimiter is None else delimiter].sub(_hide, text)
@@ -86,11 +88,10 @@ def parse(line: str, delimiter: str | None, quoting: bool, mixed: bool = False)
     if mixed:
         pieces = _ALL.split(text)
     elif delimiter is None:
-        pieces = [text]
-    elif delimiter in _SPACED:
-        pieces = _SPACED[delimiter].split(text)
+        pieces = _LINES.split(text)
     else:
-        pieces = text.split(delimiter)
+        cut = _SPACED[delimiter].split if delimiter in _SPACED else lambda t: t.split(delimiter)
+        pieces = [piece for line_ in _LINES.split(text) for piece in cut(line_)]
     out = []
     for piece in pieces:
         piece = (piece.translate(_SHOW) if hidden else piece).strip()
@@ -135,7 +136,7 @@ def parses(entry: str) -> list[tuple[str, ...]]:
         return [best] if best else []
     found = {best: None}
     held = [d for d in DELIMITERS if d.strip(" ") in text]
-    single = held if len(held) > 1 else ()  # with one delimiter the finest parse is its own
+    single = [d for d in held if d not in "\n\t"] if len(held) > 1 else ()  # with one delimiter the finest parse is its own
     quoting = (True, False) if any(q in text for q in QUOTES) and parse(text, None, False, mixed=True) != best else (True,)
     for q in quoting:
         for d in (None, *single):

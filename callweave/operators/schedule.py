@@ -92,7 +92,7 @@ def batches(df: DataFrame, group: str, order: list[str], size: int = 10) -> Data
 def retry_delay(status: Column, attempt: Column, retry_after: Column) -> Column:
     """Seconds to wait before another try, null for none. 429: what the server asks, at most 120, else 5 and then 15;
     failures and 5xx: 1.5 times two to the number of tries; 403 and other answers are final."""
-    asked = F.least(F.greatest(retry_after.cast("double"), F.lit(0.0)), F.lit(120.0))
+    asked = F.when(retry_after.isNotNull(), F.least(F.greatest(retry_after.cast("double"), F.lit(0.0)), F.lit(120.0)))
     return F.when(attempt >= 2, None).when(status == 429, F.coalesce(asked, F.when(attempt == 0, 5.0).otherwise(15.0))).when(status.isNull() | (status >= 500), F.pow(F.lit(2.0), attempt) * 1.5)
 
 

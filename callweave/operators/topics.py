@@ -109,7 +109,7 @@ def reply_topics(replies: DataFrame, asked: DataFrame) -> DataFrame:
     both = wanted.join(parsed, "batch", "left")
     got = F.array_sort(F.map_keys("j.topics"))
     ok = both.withColumn("error", F.when(F.col("j.topics").isNull(), "no topics").when(got != F.col("ids"), "ids differ"))
-    each = ok.select("batch", F.explode("ids").alias("id"), "error", "j").withColumn("labels", F.when(F.col("error").isNull(), F.transform(F.try_element_at("j.topics", F.col("id")), topic_label)))
+    each = ok.select("batch", F.explode("ids").alias("id"), "error", "j").withColumn("labels", F.when(F.col("error").isNull(), F.transform(F.try_element_at("j.topics", F.col("id")), lambda v: topic_label(v))))
     n = F.size("labels")
     bad = F.when(n.between(3, 6) & ~F.exists("labels", lambda x: x.isNull() | (F.length(x) > 40)) & (F.size(distinct_ignoring_case(F.array_compact("labels"))) == n), F.lit(None)).otherwise("labels not valid")
     return each.select("batch", "id", "labels", F.coalesce("error", bad.cast("string")).alias("error"))

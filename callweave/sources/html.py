@@ -167,11 +167,11 @@ def _text(node: Node | None) -> str | None:
     return (node.text() or None) if node is not None else None
 
 
-def _card(node: Node, recipe: Recipe, base: str, heading: str | None, journal: str | None, link: Node | None) -> dict | None:
+def _card(node: Node, recipe: Recipe, base: str, heading: str | None, journal: str | None, link: Node | None, item: bool = False) -> dict | None:
     text = node.text()
     if not recipe.search(recipe.block, text):
         return None
-    title = _text(first(node, recipe.title)) or (link.text() if link is not None else "") or (heading or "")
+    title = _text(first(node, recipe.title)) or (link.text() if link is not None else "") or (re.split(r"(?i)(?:submission |manuscript )?deadline", text)[0] if item else heading or "")
     title = " ".join(title.split())
     if len(title) < recipe.least or not recipe.search(recipe.wanted, title) or recipe.unwanted and re.search(recipe.unwanted, title, re.I):
         return None
@@ -221,8 +221,8 @@ def cards(html: str, recipe: Recipe, base: str) -> list[dict]:
                 block.children.append(sibling)
             if recipe.items:
                 for item in select(block, recipe.items):
-                    if c := _card(item, recipe, base, told, journal, _link(item, recipe)):
-                        out.append(c if c["title"] != told or not item.text() else c | {"title": item.text()})
+                    if c := _card(item, recipe, base, told, journal, _link(item, recipe), True):
+                        out.append(c)
             elif recipe.search(recipe.wanted, told) and (c := _card(block, recipe, base, told, journal, None)):
                 link = _link(head, recipe) or _link(block, recipe)
                 out.append(c | {"href": urljoin(base, link.attrs["href"]) if link is not None else base})
