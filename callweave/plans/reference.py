@@ -726,3 +726,87 @@ def connectors(spark, d):
     sources = spark.createDataFrame([(k, u, "Publisher", "Fallback", "collection", [u.split("/")[2]]) for k, (u, _) in _PAGES.items()], "source_key string, url string, publisher string, journal string, collection_type string, allowed_hosts array<string>")
     pages = {k: spark.createDataFrame([(k, u, h)], "source_key string, url string, html string") for k, (u, h) in _PAGES.items()}
     return run_sources(pages, sources, today()).select("source_key", "title", "url", "journal", "status", "deadline")
+
+
+# -- more scalar functions, over the tables ---------------------------------------------------------------------------
+@query("ref_t20_l5_slugs", r"SELECT record_id, substr(regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 30) AS slug, substr(regexp_replace(regexp_replace(lower(title), '[^a-z0-9\x{3040}-\x{30FF}\x{4E00}-\x{9FFF}]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 50) AS wide FROM raw_records")
+def slugs(spark, d):
+    return load(spark, d, "raw_records").select("record_id", text.slug(F.col("title"), 30).alias("slug"), text.slug(F.col("title"), 50, keep_cjk=True).alias("wide"))
+
+
+@query("ref_t23_t26_escapes", "SELECT record_id, translate(title, '０１２３４５６７８９', '0123456789') AS digits, replace(replace(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;') AS escaped FROM raw_records")
+def escapes(spark, d):
+    return load(spark, d, "raw_records").select("record_id", text.ascii_digits(F.col("title")).alias("digits"), text.html_escape(F.col("title")).alias("escaped"))
+
+
+@query("ref_p19_boilerplate", f"SELECT record_id, length({_collapse('title')}) < 4 OR (length({_collapse('title')}) < 8 AND NOT regexp_matches(title, '[\\x{{3040}}-\\x{{30FF}}\\x{{4E00}}-\\x{{9FFF}}]')) AS skip FROM raw_records WHERE title IS NOT NULL")
+def boilerplate(spark, d):
+    return load(spark, d, "raw_records").where("title is not null").select("record_id", text.boilerplate_title(F.col("title")).alias("skip"))
+
+
+@query("ref_t7_ordered_names", "SELECT id, array_to_string(list_filter(['Psychology', 'Gaze Science Letters', 'Gaze Science', 'Robotics'], lambda n: contains(lower(array_to_string(list_filter(list_concat([journal], coalesce(journals, [])), lambda v: v IS NOT NULL), ' ')), lower(n))), '|') AS names FROM collections")
+def ordered_names(spark, d):
+    hay = F.array_join(F.concat(F.array("journal"), F.coalesce("journals", empty())), " ")
+    return load(spark, d, "collections").select("id", joined(text.ordered_containing(["Psychology", "Gaze Science Letters", "Gaze Science", "Robotics"], hay)).alias("names"))
+
+
+@query("ref_l2_l3_links", "SELECT id, regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/list?page=3' AS absolute, CASE WHEN contains(url, '?') THEN split_part(split_part(url, '#', 1), '?', 1) || '?' || regexp_replace(split_part(split_part(url, '#', 1), '?', 2), '&?page=[^&]*', '') || '&page=2' ELSE split_part(url, '#', 1) || '?page=2' END AS second FROM collections")
+def links(spark, d):
+    return load(spark, d, "collections").select("id", url.absolute(F.col("url"), F.lit("/list?page=3")).alias("absolute"), url.with_page(F.col("url"), F.lit(2)).alias("second"))
+
+
+@query("ref_u5_u7_sets", "SELECT id, len(list_filter(domains, lambda v: v NOT IN ('hci', 'hri', 'robotics'))) = 0 AS inside, CASE WHEN list_contains(domains, 'hci') THEN array_to_string(list_filter(domains, lambda v: v <> 'hci'), '|') ELSE array_to_string(list_append(domains, 'hci'), '|') END AS toggled FROM collections WHERE domains IS NOT NULL")
+def sets(spark, d):
+    from callweave.functions.arrays import is_subset, toggled
+
+    few = F.array(*map(F.lit, ("hci", "hri", "robotics")))
+    return load(spark, d, "collections").where("domains is not null").select("id", is_subset(F.col("domains"), few).alias("inside"), joined(toggled(F.col("domains"), F.lit("hci"))).alias("toggled"))
+
+
+@query("ref_m5_merged_scores", f"WITH s AS ({_classify_sql()}) SELECT record_id, domain, CASE WHEN domain = 'hci' THEN 1.0 ELSE score END AS score FROM s")
+def merged_scores(spark, d):
+    from callweave.functions.arrays import merged_map
+
+    rows = C.classify(load(spark, d, "raw_records"), KEYWORDS, RULES)
+    return rows.select("record_id", F.explode(merged_map(F.col("domain_scores"), F.create_map(F.lit("hci"), F.lit(1.0).cast("double")))).alias("domain", "score"))
+
+
+@query("ref_t18_topic_inputs", "SELECT id, 'sha256:' || sha256('{\"domains\":' || CASE WHEN domains IS NULL THEN 'null' ELSE CAST(to_json(domains) AS VARCHAR) END || ',\"id\":' || to_json(id) || ',\"journal\":' || CASE WHEN journal IS NULL THEN 'null' ELSE CAST(to_json(journal) AS VARCHAR) END || ',\"journals\":' || CASE WHEN journals IS NULL THEN 'null' ELSE CAST(to_json(journals) AS VARCHAR) END || ',\"summary\":' || CASE WHEN summary IS NULL THEN 'null' ELSE CAST(to_json(summary) AS VARCHAR) END || ',\"title\":' || CASE WHEN title IS NULL THEN 'null' ELSE CAST(to_json(title) AS VARCHAR) END || '}') AS hash FROM collections")
+def topic_inputs(spark, d):
+    return load(spark, d, "collections").select("id", ids.topics_input_hash().alias("hash"))
+
+
+@query("ref_a11_a14_document_dates", r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(text, '\b(\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4})\b', 1) AS f FROM documents WHERE text IS NOT NULL AND lang = 'en')
+SELECT doc_id, max(CAST(strptime(x, '%d %B %Y') AS DATE)) AS latest, count(*) AS n FROM (SELECT doc_id, unnest(f) AS x FROM t) GROUP BY doc_id""")
+def document_dates(spark, d):
+    found = F.regexp_extract_all("text", F.lit(r"\b(\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4})\b"), 1)
+    rows = load(spark, d, "documents").where("text is not null and lang = 'en'").select("doc_id", found.alias("f")).where(F.size("f") > 0)
+    return rows.select("doc_id", F.array_max(F.transform("f", D.written_date)).alias("latest"), F.size("f").cast("long").alias("n"))
+
+
+@query("ref_s1_k1_jsonl_round_trip", "SELECT id, title, array_to_string(domains, '|') AS domains, deadline FROM collections")
+def jsonl_round_trip(spark, d):
+    import uuid
+
+    from callweave.session import shared_folder
+    from callweave.sources.files import read_jsonl, write_jsonl
+
+    path = f"{shared_folder(spark)}/callweave-{uuid.uuid4().hex}.jsonl"
+    rows = load(spark, d, "collections").select("id", "title", "domains", "deadline")
+    write_jsonl(rows, path)
+    return read_jsonl(spark, path, rows.schema).withColumn("domains", joined("domains"))
+
+
+@query("ref_k5_k6_artifacts", f"SELECT count(*) AS n FROM collections WHERE {_OPEN}")
+def artifact_lines(spark, d):
+    from callweave.plans.ingest import artifacts
+
+    calls = load(spark, d, "collections")
+    return artifacts(calls, calls.limit(0), load(spark, d, "notification_ledger"), today())["viewer"].agg(F.count("*").alias("n"))
+
+
+@query("ref_r3_r7_status_carry", "SELECT s.source_key, coalesce(n.rows, p.rows) AS rows, n.rows IS NULL AND p.rows IS NULL AS skipped FROM sources s LEFT JOIN (SELECT source_key, count(*) AS rows FROM call_snapshots WHERE snapshot_no = 8 GROUP BY 1) n USING (source_key) LEFT JOIN (SELECT source_key, count(*) AS rows FROM call_snapshots WHERE snapshot_no = 7 GROUP BY 1) p USING (source_key)")
+def status_carry(spark, d):
+    n = lambda no: load(spark, d, "call_snapshots").where(F.col("snapshot_no") == no).groupBy("source_key").agg(F.count("*").alias("rows"))
+    return H.carry_status(load(spark, d, "sources"), n(8), n(7))

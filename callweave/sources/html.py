@@ -275,3 +275,19 @@ def next_page(html: str, current: str) -> str | None:
             own = [(k, v) for k, v in parse_qsl(there.query) if k not in dict(kept)]
             return urlunsplit((there.scheme, there.netloc, there.path, urlencode([*own, *kept]), ""))
     return None
+
+
+def page_is(html: Column, url: Column) -> Column:
+    """True where a page names itself by the canonical form of ``url``."""
+    from callweave.functions.url import canonical_url
+
+    return F.exists(canonical_links(html), lambda u: canonical_url(u) == canonical_url(url))
+
+
+def labelled_keywords(html: Column) -> Column:
+    """The keywords of the paragraphs of a page that begin with "Keywords:"."""
+    from callweave.functions.text import html_to_text, keyword_list
+
+    paragraphs = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), 1), html_to_text)
+    own = F.filter(paragraphs, lambda p: p.rlike(r"(?i)^keywords\s*:"))
+    return keyword_list(F.transform(own, lambda p: F.regexp_replace(p, r"(?i)^keywords\s*:\s*", "")))
