@@ -37,6 +37,8 @@ _SLOT = re.compile(
     r"|\[object Object\]|(?<![\w.])(?:NaN|NULL|undefined)(?![\w.])",
     re.I,
 )
+#: Windows without these hold no slot, which saves the long pattern.
+_MAY_SLOT = re.compile(r"[{\[<$%#@*_]|&l|\((?:add|insert|enter|put|type)|xx[./-]|(?:dd|tt)[ ./-]|nan|null|undefined", re.I)
 _CASED = re.compile(r"nan|null|undefined", re.I)
 _TOKEN = re.compile(rf"{SLOT}|[^\W\d_]+|\d+")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
@@ -217,12 +219,13 @@ def window_tokens(window: str) -> list[str]:
 
 def windows(text: str) -> list[str]:
     """The passage windows of a text: the sentences of its lines, slots made one token."""
-    text = _slotted(unicodedata.normalize("NFKC", text.replace("…", "… ")) if not text.isascii() else text)
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text.replace("…", "… "))
     out: list[str] = []
     for line in _LINES.split(text):
         if not (line := line.strip()):
             continue
-        out += [w for w in _SENTENCES.split(line) if w.strip()]
+        out += [_slotted(w) if _MAY_SLOT.search(w) else w for w in _SENTENCES.split(line) if w.strip()]
     return out
 
 
@@ -246,11 +249,14 @@ class Index:
                         self.entries.append((label, own, total))
         for i, (label, own, _) in enumerate(self.entries):
             keys = sorted(own, key=lambda t: (-self.weight[t], t))
-            for t in keys if label == "filler" and len(own) > 10 else keys[: max(2, len(keys) // 2)]:
+            for t in keys if label == "filler" and len(own) > 10 else keys[: min(4, (len(keys) + 1) // 2)]:
                 self.by_token.setdefault(t, []).append(i)
+        self.keys = frozenset(self.by_token) | {SLOT}
 
     def label(self, window: str) -> tuple[str, int]:
         """(label, words) of a window; label 'slot' for an unfilled slot."""
+        if window.isascii() and "0" not in self.keys and self.keys.isdisjoint(words := _TOKEN.findall(window.lower())):
+            return "content", len(words)
         words = window_tokens(window)
         held = set(words)
         found = {i for t in held if (ids := self.by_token.get(t)) for i in ids}
@@ -305,7 +311,7 @@ def exemplar_tokens(exemplars: dict[str, tuple[str, ...]] = EXEMPLARS) -> frozen
 
 def document_frequencies(df: DataFrame, text: str) -> tuple[dict[str, int], int]:
     """How many documents have each token of the exemplars, and how many documents have text: over the whole corpus."""
-    wanted = exemplar_tokens()
+    wanted = exemplar_tokens() - {SLOT, "0"}  # slots count as rare, numbers as common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = Counter(), 0
@@ -313,12 +319,14 @@ def document_frequencies(df: DataFrame, text: str) -> tuple[dict[str, int], int]
             for value in batch.column(0).to_pylist():
                 if value:
                     n += 1
-                    counts.update(wanted.intersection(window_tokens(_slotted(value))))
+                    words = _TOKEN.findall(value.lower()) if value.isascii() else window_tokens(value)
+                    counts.update(wanted.intersection(words))
         yield pa.RecordBatch.from_arrays([pa.array([*counts, ""]), pa.array([*counts.values(), n], pa.int64())], ["token", "n"])
 
     rows = df.select(text).where(F.col(text).isNotNull()).mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()  # a row a token of the exemplars
     counts = {r["token"]: r["n"] for r in rows}
-    return counts, counts.pop("", 0)
+    n = counts.pop("", 0)
+    return counts | {"0": n}, n
 
 
 def mark_residue(df: DataFrame, id_column: str, text: str) -> DataFrame:
