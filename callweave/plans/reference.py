@@ -690,12 +690,10 @@ def ingest_run(spark, d):
 @query("ref_r1_r3_stream_upsert", f"""{_ADOPT.replace('FROM collections', 'FROM (SELECT * FROM collections WHERE false)')}
  SELECT id, list({{'s': title}} ORDER BY record_id DESC)[1].s AS title, list(deadline ORDER BY record_id DESC) FILTER (WHERE deadline IS NOT NULL)[1] AS deadline, coalesce(list(status ORDER BY record_id DESC) FILTER (WHERE status <> 'unknown')[1], 'unknown') AS status FROM (SELECT *, fresh AS id FROM (SELECT * EXCLUDE (id) FROM a)) GROUP BY id""")
 def stream_upsert(spark, d):
-    import uuid
-
-    from callweave.session import shared_folder
+    from callweave.session import scratch
     from callweave.streaming.calls import stored_table, upsert_stream
 
-    folder = f"{shared_folder(spark)}/callweave-stream-{uuid.uuid4().hex}"
+    folder = scratch(spark)
     raw = load(spark, d, "raw_records")
     raw.write.parquet(f"{folder}/arrived")
     stream = spark.readStream.schema(raw.schema).parquet(f"{folder}/arrived")
@@ -787,12 +785,10 @@ def document_dates(spark, d):
 
 @query("ref_s1_k1_jsonl_round_trip", "SELECT id, title, array_to_string(domains, '|') AS domains, deadline FROM collections")
 def jsonl_round_trip(spark, d):
-    import uuid
-
-    from callweave.session import shared_folder
+    from callweave.session import scratch
     from callweave.sources.files import read_jsonl, write_jsonl
 
-    path = f"{shared_folder(spark)}/callweave-{uuid.uuid4().hex}.jsonl"
+    path = scratch(spark, ".jsonl")
     rows = load(spark, d, "collections").select("id", "title", "domains", "deadline")
     write_jsonl(rows, path)
     return read_jsonl(spark, path, rows.schema).withColumn("domains", joined("domains"))

@@ -56,6 +56,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch(spark: SparkSession, suffix: str = "") -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{shared_folder(spark)}/callweave-{uuid.uuid4().hex}{suffix}"
+    if not _written:
+        atexit.register(_sweep)
+    _written.append((spark, path))
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: a lineage cut that no lost executor can undo.
 
@@ -63,11 +72,8 @@ def settle(df: DataFrame) -> DataFrame:
     removed when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/callweave-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    if not _written:
-        atexit.register(_sweep)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
