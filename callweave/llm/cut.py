@@ -11,10 +11,12 @@ What ends otherwise may be a headline, a date line or an address, and is asked a
 * context. Of the last words (8, 5, 3, 2, 1) the longest run that is common enough is taken; where the corpus goes
   on after it more often than different texts end with it, the text was cut. Where a run of two or three, its last
   word taken as the beginning of a longer one, is more often gone on with than met whole, the text was cut inside
-  the word even though what is left is a word too. Digits count by number only, months alike.
+  the word even though what is left is a word too. Digits count by number only, months alike; text means summaries here,
+  since titles are edited at their ends.
 * address. A text that ends with a web or mail address is whole, unless it has a limit's length or the address begins
   a longer one.
-* the title. A text that equals the record's own title is whole.
+* titles. A text that equals the record's own title is whole, and so is one whose last three words or more end some
+  title and are never gone on with inside a text.
 
 The corpus is read twice: for the ends, and for what follows them. The second pass counts only runs that pass a
 Bloom filter of the ends, whose size is fixed (``2 ** BLOOM_BITS`` bits), so what is sent to executors has a bound;
@@ -52,11 +54,16 @@ OMITTED = re.compile(
 )
 _BARE_MORE = re.compile(r"(?:^|[\s(\[])more$", re.I)
 ABBREVIATIONS = re.compile(r"(?:^|[\s(\[])(?:e\.\s?g|i\.\s?e|vs|approx|cf|z\.\s?B|d\.\s?h|bzw|ca|p\.\s?ex|resp|incl|esp)\.$", re.I)
+_MORE = re.compile(r"(?:\.\.\.|\]|\))\s*(?:read\s+)?more|\((?:read\s+)?more|read\s+more$", re.I)
+_NEXT = re.compile(r"(?<=[.!?。])\s")
 _ENDED = re.compile(r"[.!?。][)\]}\"'”’»」』]*$")
 _ADDRESS = re.compile(r"(?:https?://|www\.)[^\s/]+/\S+$|\S+@\S+\.\w+$|(?:^|\s)[a-z0-9][a-z0-9\-]*(?:\.[a-z][a-z0-9\-]+){2,}$")
 _OPEN_END = re.compile(r"[,;:(\[{\-–—/&'’\"«“‘、，；：「（]$")
 _MONTHS = frozenset("January February March April May June July August September October November December".split())
-_TOKEN = re.compile(r"https?://\S+|[A-Za-z0-9][\w\-]*(?:\.[A-Za-z][\w\-]+){2,}|[぀-ヿ㐀-鿿豈-﫿]|[^\W\d_぀-ヿ㐀-鿿豈-﫿]+|\d+|[^\w\s]")
+_PLAIN = r"[぀-ヿ㐀-鿿豈-﫿]|[^\W\d_぀-ヿ㐀-鿿豈-﫿]+|\d+|[^\w\s]"
+_SIMPLE, _TOKEN = re.compile(_PLAIN), re.compile(r"https?://\S+|[A-Za-z0-9][\w\-]*(?:\.[A-Za-z][\w\-]+){2,}|" + _PLAIN)
+#: Texts without these hold no address, which saves the longer pattern.
+_MAY_ADDRESS = re.compile(r"://|[a-z0-9]\.[a-z][a-z0-9\-]")
 
 
 class _Forms(dict):
@@ -74,7 +81,7 @@ _forms = _Forms()
 
 def tokens(text: str) -> list[str]:
     """Words, numbers (as so many noughts), single characters of scripts without blanks, and marks."""
-    return list(map(_forms.__getitem__, _TOKEN.findall(text)))
+    return list(map(_forms.__getitem__, (_TOKEN if _MAY_ADDRESS.search(text) else _SIMPLE).findall(text)))
 
 
 def _id(token: str) -> int:
@@ -122,14 +129,18 @@ def begun_hashes(begun: np.ndarray, before: np.ndarray, before2: np.ndarray) ->
 def _verdict(text: str) -> str:
     """'cut', 'whole' or 'ask', by what stands at the end."""
     text = text[-400:]
-    if OMITTED.search(text) and not (_BARE_MORE.search(text) and not re.search(r"(?:\.\.\.|\]|\))\s*(?:read\s+)?more|\((?:read\s+)?more|read\s+more$", text, re.I)):
+    if text[-1] not in ".!?。" or text[-3:] == "...":
+        tail = text[-80:]
+        if OMITTED.search(tail) and not (_BARE_MORE.search(tail) and not _MORE.search(tail)):
+            return "cut"
+        if not _ENDED.search(tail):
+            return "cut" if _OPEN_END.search(tail) or re.search(r"&#?\w{1,7}$", tail) else "ask"
+    if text[-1] == "." and ABBREVIATIONS.search(text[-12:]):
         return "cut"
-    if ABBREVIATIONS.search(text):
-        return "cut"
-    if _ENDED.search(text):
-        sentence = re.split(r"(?<=[.!?。])\s", text)[-1]
-        return "cut" if text[-1] not in ")]" and sentence.rfind("(") > sentence.rfind(")") else "whole"
-    return "cut" if _OPEN_END.search(text) or re.search(r"&#?\w{1,7}$", text) else "ask"
+    if text[-1] not in ")]" and "(" in text:
+        sentence = _NEXT.split(text)[-1]
+        return "cut" if sentence.rfind("(") > sentence.rfind(")") else "whole"
+    return "whole"
 
 
 def ends(df: DataFrame, id_column: str, source: str, text: str, title: str) -> DataFrame:
@@ -206,7 +217,7 @@ def what_follows(df: DataFrame, text: str, title: str, filter_: bytes) -> DataFr
             """The ids of words, and of their beginnings that some text ends with."""
             for t in new:
                 ids[t] = _id(t)
-            parts = [(t, t[:n]) for t in new for n in range(1, min(len(t), 25)) if not t.startswith("http")]
+            parts = [(t, t[:n]) for t in new for n in range(1 + (t[0] == "0"), min(len(t), 25)) if not t.startswith("http")]
             own = np.fromiter((_id(b) for _, b in parts), np.uint64, len(parts))
             ok = _passes(wanted, _seal(_mix(np.zeros(len(own), np.uint64), own, 1), 1))
             kept: dict[str, list[int]] = {}
@@ -239,11 +250,12 @@ def what_follows(df: DataFrame, text: str, title: str, filter_: bytes) -> DataFr
 
         def read(value: str) -> list[str]:
             value = value if value.isascii() else clean(value)
-            return tokens(OMITTED.sub("", value) if value[-1:] not in ".?!。" or value[-3:] == "..." else value)
+            return tokens(value[:-80] + OMITTED.sub("", value[-80:]) if value[-1:] not in ".?!。" or value[-3:] == "..." else value)
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                some, flat, sizes = batch.slice(begin, 512), [], []
+            step = max(1, min(4096, int(4e6 // (batch.nbytes / max(1, batch.num_rows) + 1))))  # about 4 MB of text
+            for begin in range(0, batch.num_rows, step):
+                some, flat, sizes = batch.slice(begin, step), [], []
                 for value in some.column(0).to_pylist():
                     if value and (t := read(value)):
                         flat += t
@@ -267,6 +279,7 @@ def what_follows(df: DataFrame, text: str, title: str, filter_: bytes) -> DataFr
                 goes_on[last] = False
                 heads = np.zeros(len(flat), bool)
                 heads[last[texts:]] = True
+                in_text = np.arange(len(flat)) < (last[texts - 1] + 1 if texts else 0)
                 inside.update(map(distinct.__getitem__, np.unique(at[goes_on | heads]).tolist()))
                 held = [begins[t] for t in distinct]
                 many = np.fromiter(map(len, held), np.int64, len(held))
@@ -278,7 +291,7 @@ def what_follows(df: DataFrame, text: str, title: str, filter_: bytes) -> DataFr
                     for n, h in begun_hashes(begun, codes[spots - 1], codes[spots - 2]).items():
                         count(starts, h[place[spots] >= n - 1])
                 for n, h in run_hashes(codes).items():
-                    for which, into in ((goes_on, counts), (heads, closes)):
+                    for which, into in ((goes_on & in_text, counts), (heads, closes)):
                         count(into, h[which & (place >= n - 1)])
                 if len(inside) + len(counts) > 500_000:
                     yield flush()
@@ -322,15 +335,16 @@ def find_cut(df: DataFrame, id_column: str, source: str, text: str, title: str)
     on = follows.where("h is not null").groupBy("h").agg(F.sum("n").alias("on"), F.sum("whole").alias("whole"), F.sum("begun").alias("begun"))
     off = runs.select("h", "digest").distinct().groupBy("h").agg(F.count("*").alias("off"))
     none = F.lit(0)
-    known = off.join(on, "h", "left").select("h", (F.col("off") + F.coalesce("whole", none)).alias("off"), F.coalesce("on", none).alias("on"), F.coalesce("begun", none).alias("begun"))
+    known = off.join(on, "h", "left").select("h", (F.col("off") + F.coalesce("whole", none)).alias("off"), F.coalesce("whole", none).alias("whole"), F.coalesce("on", none).alias("on"), F.coalesce("begun", none).alias("begun"))
     pair, three = RUNS.index(2), RUNS.index(3)
     inner = F.col("k").isin(pair, three) & (F.col("on") + F.col("off") + F.col("begun") >= COMMON)
     context = (
         runs.join(known, "h").groupBy(id_column).agg(
             F.max(F.when((F.col("on") + F.col("off") >= COMMON) | (F.col("k") == 0), F.struct("k", "on", "off"))).alias("c"),
             F.max(F.when(inner, F.struct("k", "begun", (F.col("on") + F.col("off")).alias("met")))).alias("b"),
+            F.max((F.col("k") >= three) & (F.col("whole") > 0) & (F.col("on") == 0)).alias("titled"),
         )
-        .select(id_column, F.col("c.on").alias("on"), F.col("c.off").alias("off"), F.coalesce(F.col("b.begun") > F.col("b.met"), F.lit(False)).alias("begun"))
+        .select(id_column, F.col("c.on").alias("on"), F.col("c.off").alias("off"), F.coalesce(F.col("b.begun") > F.col("b.met"), F.lit(False)).alias("begun"), "titled")
     )
     nodes = trie(follows.where("word is not null").select("word").union(asked.where("address").select("word")).distinct()).join(asked.select(F.col("word").alias("node")).distinct(), "node", "left_semi").withColumnRenamed("node", "word")
     most = limits(asked)
@@ -345,6 +359,7 @@ def find_cut(df: DataFrame, id_column: str, source: str, text: str, title: str)
             F.when(F.col("at_limit"), "length")
             .when(F.col("address") & ~F.coalesce("goes_on", F.lit(False)), None)
             .when(F.col("address"), "word")
+            .when(F.col("titled"), None)
             .when(~F.coalesce("is_word", F.lit(False)) & F.coalesce("goes_on", F.lit(False)), "word")
             .when(F.col("begun"), "word")
             .when(~F.coalesce("is_word", F.lit(False)) & (F.coalesce("off", F.lit(0)) < COMMON), "unknown")
