@@ -369,7 +369,7 @@ def prompt_labels(spark, d):
     return T.prompt_labels(T.catalog(load(spark, d, "collections"))).select("label")
 
 
-@query("ref_m11_publisher_topics")
+@query("ref_m11_publisher_topics", f"SELECT record_id, coalesce(len(flatten(list_transform(list_filter(publisher_keywords, lambda v: v IS NOT NULL), lambda v: {_pieces_sql('v')}))), 0) > 0 AS has FROM raw_records")
 def publisher_topics(spark, d):
     rows = load(spark, d, "raw_records").withColumns({"topics": empty(), "topics_method": F.lit("none")})
     return T.publisher_topics(rows).select("record_id", (F.col("topics_method") == "publisher").alias("has"))
