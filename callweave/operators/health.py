@@ -85,8 +85,8 @@ def skip_reason(enabled: Column, fetchable: Column) -> Column:
     return F.when(~F.coalesce(enabled, F.lit(False)), "disabled").when(~F.coalesce(fetchable, F.lit(True)), "fetch-disabled")
 
 
-def source_report(df: DataFrame, source: str, samples: int = 3) -> DataFrame:
-    """For each source its rows, how many have a deadline, its statuses as text, and the first titles.
+def source_report(df: DataFrame, source: str) -> DataFrame:
+    """For each source its rows, how many have a deadline, its statuses as text, its first title and how many it has.
 
     Statuses are counted before they are gathered, and titles are a bounded minimum, so a large source is no burden.
     """

@@ -69,20 +69,43 @@ def merge_rows(current: Column, incoming: Column, names: Sequence[str]) -> Colum
     return F.struct(*[out[n].alias(n) for n in names])
 
 
+#: Rows of a key that are folded from one list.
+BLOCK = 1000
+
+
+def _folded(df: DataFrame, keys: list[str], order: list[str], names: Sequence[str], kind: str) -> DataFrame:
+    """``keys`` and ``r``: the rows ``r`` of each key merged in order."""
+    rows = F.collect_list(F.struct(F.struct(*order).alias("o"), "r"))
+    by_order = lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)
+    in_order = F.array_sort(rows, by_order) if "map<" in kind else F.sort_array(rows)  # maps cannot be compared
+    packed = df.groupBy(*keys).agg(in_order.alias("rows"))
+    merged = F.when(F.size("rows") == 1, F.col("rows")[0]["r"]).otherwise(
+        F.aggregate(F.slice("rows", 2, F.size("rows")), F.col("rows")[0]["r"].cast(kind), lambda acc, x: merge_rows(acc, x["r"], names).cast(kind))
+    )
+    return packed.select(*keys, merged.alias("r"))
+
+
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row for each key: its rows merged in order. Rows with a null key pass unchanged."""
+    """One row for each key: its rows merged in order. Rows with a null key pass unchanged.
+
+    Merging is associative but for rows that were verified (``metadata_checked_at``). Tables without that column are folded in
+    blocks of ``BLOCK`` consecutive rows, then block by block, so that no list grows with a hot key; both steps use the
+    partitioning of the first. With that column a key's rows are one list: listings of one call, few by nature.
+    """
     names = df.columns
     keyed = df
     for k in keys:
         keyed = keyed.where(F.col(k).isNotNull())
     loose = df.where(" or ".join(f"`{k}` is null" for k in keys))
-    rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("o"), F.struct(*names).alias("r"))))
-    packed = keyed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(rows.alias("rows"))
     kind = df.schema.simpleString()
-    merged = F.when(F.size("rows") == 1, F.col("rows")[0]["r"]).otherwise(
-        F.aggregate(F.slice("rows", 2, F.size("rows")), F.col("rows")[0]["r"].cast(kind), lambda acc, x: merge_rows(acc, x["r"], names).cast(kind))
-    )
-    return packed.select(merged.alias("m")).select("m.*").unionByName(loose)
+    own = [f"_{k}" for k in keys]
+    rows = keyed.select(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)], *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*names).alias("r"))
+    places = [f"_o{i}" for i in range(len(order))]
+    if "metadata_checked_at" not in names:
+        line = Window.partitionBy(*own).orderBy(*places)
+        rows = _folded(rows.withColumn("_b", F.floor((F.row_number().over(line) - 1) / BLOCK)), [*own, "_b"], places, names, kind)
+        places = ["_b"]
+    return _folded(rows, own, places, names, kind).select("r.*").unionByName(loose)
 
 
 def collapse_business_keys(df: DataFrame) -> DataFrame:

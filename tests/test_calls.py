@@ -50,6 +50,18 @@ def test_several_incoming_rows_fold_by_position(spark):
     assert [(r["title"], r["deadline"]) for r in out] == [("second", dt.date(2027, 2, 2))]
 
 
+def test_a_hot_key_folds_in_blocks(spark):
+    n = 3_500
+    rows = spark.range(n).select(F.format_string("%06d", "id").alias("id"), F.lit("P").alias("publisher"), F.lit("1").alias("publisher_id"), F.concat(F.lit("t"), "id").alias("title"), F.when(F.col("id") == 7, "2027-01-01").alias("deadline"), F.when(F.col("id") == 8, "closed").otherwise("unknown").alias("status"), F.array(F.concat(F.lit("x"), F.col("id") % 3)).alias("topics"))
+    (r,) = merge.collapse_business_keys(rows).collect()
+    assert (r["id"], r["title"], r["deadline"], r["status"], r["topics"]) == ("000000", f"t{n - 1}", "2027-01-01", "closed", ["x0", "x1", "x2"])
+
+
+def test_score_maps_merge(spark):
+    rows = spark.createDataFrame([("a1", "P", "1", {"x": 1.0, "y": 1.0}), ("b2", "P", "1", {"y": 2.0}), ("c3", "P", "1", None)], "id string, publisher string, publisher_id string, domain_scores map<string, double>")
+    assert [r["domain_scores"] for r in merge.collapse_business_keys(rows).collect()] == [{"x": 1.0, "y": 2.0}]
+
+
 def test_adoption(spark):
     stored = spark.createDataFrame([("s1", "P", "1", 0)], "id string, publisher string, publisher_id string, pos int")
     new = spark.createDataFrame([("P", "1", 1, "n1"), ("P", "2", 2, "n2"), ("P", "2", 3, "n3"), ("P", None, 4, "n4"), (None, "2", 5, "n5")], "publisher string, publisher_id string, pos int, fresh string")
