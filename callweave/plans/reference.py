@@ -230,7 +230,8 @@ def deadline_views(spark, d):
 WITH t AS (SELECT doc_id, regexp_extract_all(text, '(?i)(?:deadline|due(?: date| by)?|closes?(?: on)?|submissions? (?:close|due|by)|until|before)[^.;]{0,40}?\b(\d{1,2}\s+(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{4})\b', 1) AS f FROM documents WHERE doc_kind = 'deadline_notice' AND lang = 'en')
 SELECT doc_id, CAST(strptime(f[len(f)], '%d %B %Y') AS DATE) AS deadline FROM t WHERE len(f) > 0""")
 def written_dates(spark, d):
-    rows = load(spark, d, "documents").where("doc_kind = 'deadline_notice' and lang = 'en'")
+    """Every document with text. The SQL above knows one kind, one language and one written form: its rows are a part of these."""
+    rows = load(spark, d, "documents").where("text is not null")
     return rows.select("doc_id", D.labelled_deadline(F.col("text")).alias("deadline")).where("deadline is not null")
 
 
