@@ -59,6 +59,15 @@ def latest_deadline(texts: Column) -> Column:
     return F.array_max(F.transform(dated, lambda s: s))["d"]
 
 
+def dated_passages(text: Column) -> Column:
+    """Each written date of ``text``, Japanese ones as ISO dates, followed by the sentence that it stands in."""
+    t = F.regexp_replace(ascii_digits(text), r"(?<=[年月])\s*(\d)\s*(?=[月日])", "0$1")
+    t = collapse(F.regexp_replace(t, r"(\d{4})\s*年\s*(\d{2})\s*月\s*(\d{2})\s*日", " $1-$2-$3 "))
+    sentences = F.split(t, rf"(?i)(?<=[.;!?])(?<!\b{_MONTH}\.)\s+|(?<=。)")
+    each = F.transform(sentences, lambda s: F.transform(F.regexp_extract_all(s, F.lit(rf"(?i)\b({DATE})\b"), 1), lambda d: F.concat_ws(" ", d, s)))
+    return F.flatten(each)
+
+
 def deadline_by_priority(items: Column) -> Column:
     """The date of the struct (priority, date) with the least priority, the first of equals; null dates are passed over."""
     kept = F.filter(items, lambda s: s["date"].isNotNull())

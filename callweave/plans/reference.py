@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from callweave.functions import dates as D
 from callweave.functions import ids, text, url
 from callweave.functions.arrays import empty, ordered_set, same_set
+from callweave.functions.plan import once
 from callweave.operators import classify as C
 from callweave.operators import facets as Q
 from callweave.operators import health as H
@@ -779,9 +780,10 @@ def topic_inputs(spark, d):
 WITH t AS (SELECT doc_id, regexp_extract_all(text, '\b(\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4})\b', 1) AS f FROM documents WHERE text IS NOT NULL AND lang = 'en')
 SELECT doc_id, max(CAST(strptime(x, '%d %B %Y') AS DATE)) AS latest, count(*) AS n FROM (SELECT doc_id, unnest(f) AS x FROM t) GROUP BY doc_id""")
 def document_dates(spark, d):
-    found = F.regexp_extract_all("text", F.lit(r"\b(\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4})\b"), 1)
-    rows = load(spark, d, "documents").where("text is not null and lang = 'en'").select("doc_id", found.alias("f")).where(F.size("f") > 0)
-    return rows.select("doc_id", F.array_max(F.transform("f", D.written_date)).alias("latest"), F.size("f").cast("long").alias("n"))
+    """Every document with text, all written forms; an extension comes first. The SQL above knows one language and one form."""
+    rows = load(spark, d, "documents").where("text is not null").select("doc_id", once(D.dated_passages(F.col("text"))).alias("f"))
+    rows = rows.withColumn("f", once(F.filter("f", lambda p: D.written_date(p).isNotNull()))).where(F.size("f") > 0)
+    return rows.select("doc_id", D.latest_deadline(F.col("f")).alias("latest"), F.size("f").cast("long").alias("n"))
 
 
 @query("ref_s1_k1_jsonl_round_trip", "SELECT id, title, array_to_string(domains, '|') AS domains, deadline FROM collections")

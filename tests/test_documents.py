@@ -34,3 +34,19 @@ def test_labelled_deadlines_of_every_kind_and_language(spark, tmp_path):
 def test_labelled_deadlines_hold_the_rows_of_their_sql(spark):
     part, whole = of_sql("ref_d1_d2_written_dates"), {tuple(r) for r in entry.queries()["ref_d1_d2_written_dates"](spark, SF).collect()}
     assert part < whole
+
+
+def test_dates_of_every_language_and_form(spark, tmp_path):
+    rows = [
+        (1, "From 1 April 2027 to 1 May 2027.", "en", "call_page"), (2, "Bis 2 May 2027", "de", "digest"), (3, "due 1 April 2027 or May 3, 2027", "EN", "digest"), (4, "Feb. 4, 2026 and 2027-05-04", None, None),
+        (5, "締切２０２７年５月５日、発表2027年4月5日。", "ja", "call_page"), (6, "Out on 1 June 2028. The deadline of 1 April 2027 was extended to 6 May 2027. Talks: 1 July 2028", "en", "call_page"),
+        (7, "31 April 2027 or the 7th of May 2027", "en", "digest"), (8, "Extended until Sept. 8, 2027. News of 9 Sept. 2028", "und", None), (9, "31 April 2027", "en", "digest"), (10, None, "en", "digest"), (11, "May 2027", "en", "digest"),
+    ]
+    want = {1: (5, 1, 2), 2: (5, 2, 1), 3: (5, 3, 2), 4: (5, 4, 2), 5: (5, 5, 2), 6: (5, 6, 4), 7: (5, 7, 1), 8: (9, 8, 2)}
+    assert run(spark, tmp_path, "ref_a11_a14_document_dates", rows) == {i: (dt.date(2027, m, d), n) for i, (m, d, n) in want.items()}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_dates_hold_the_rows_of_their_sql(spark):
+    part, whole = of_sql("ref_a11_a14_document_dates"), {tuple(r) for r in entry.queries()["ref_a11_a14_document_dates"](spark, SF).collect()}
+    assert part < whole
