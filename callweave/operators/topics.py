@@ -39,14 +39,20 @@ def catalog_matches(df: DataFrame, terms: DataFrame, id_column: str = "id", most
     """(id, matches): the labels whose needle stands in title or summary between other characters, by count and key.
 
     A needle is looked up by its first word: an equi-join of a text's words with the needles' first words, then the
-    whole needle is tested. No pair of text and term is formed without a common word.
+    whole needle is tested. A needle without ASCII letter or digit is looked up by its first two characters, among the
+    pairs of neighbours in the text. No pair of text and term is formed without a common word or pair.
     """
     text = F.lower(F.array_join(F.filter(F.array("title", "summary"), lambda t: t.isNotNull() & (t != "")), " "))
     first = lambda c: F.regexp_extract(c, r"[a-z0-9]+", 0)
-    needles = terms.select("key", "label", "n", F.explode("needles").alias("needle")).withColumn("word", first(F.col("needle"))).where("word <> ''")
+    needles = terms.select("key", "label", "n", F.explode("needles").alias("needle"))
+    needles = needles.withColumn("word", F.coalesce(F.nullif(first(F.col("needle")), F.lit("")), F.substring("needle", 1, 2)))
     texts = df.select(id_column, text.alias("text")).where("text <> ''")
-    worded = texts.select(id_column, "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([a-z0-9]+)"), 1))).alias("word"))
-    found = worded.join(needles, "word").where(F.contains("text", "needle")).where(F.expr(r"text rlike concat('(?<![a-z0-9])\\Q', needle, '\\E(?![a-z0-9])')"))
+    held = lambda pattern: F.regexp_extract_all("text", F.lit(pattern), 1)
+    words = F.concat(held("([a-z0-9]+)"), held(r"(?=([^a-z0-9\s][^a-z0-9]))"), held(r"([^a-z0-9\s])"))
+    worded = texts.select(id_column, F.explode(F.array_distinct(words)).alias("word"))
+    asked = worded.join(needles, "word").drop("word").withColumnRenamed(id_column, "_id")
+    pairs = texts.join(asked, texts[id_column].eqNullSafe(asked["_id"])).drop("_id")  # texts do not go along with each of their words
+    found = pairs.where(F.contains("text", "needle")).where(F.expr(r"text rlike concat('(?<![a-z0-9])\\Q', needle, '\\E(?![a-z0-9])')"))
     each = found.groupBy(id_column, "key").agg(F.first("label").alias("label"), F.first("n").alias("n"))
     return each.groupBy(id_column).agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "key", "label"))), lambda s: s["label"]).alias("matches"))
 
