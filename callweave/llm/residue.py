@@ -41,6 +41,7 @@ _SLOT = re.compile(
 _MAY_SLOT = re.compile(r"[{\[<$%#@*_]|&l|\((?:add|insert|enter|put|type)|xx[./-]|(?:dd|tt)[ ./-]|nan|null|undefined", re.I)
 _CASED = re.compile(r"nan|null|undefined", re.I)
 _TOKEN = re.compile(rf"{SLOT}|[^\W\d_]+|\d+")
+_DIGIT = re.compile(r"\d")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 _LINES = re.compile(r"[\n\r\x0b\x0c\x85  ]+")
 _SENTENCES = re.compile(r"(?<=[.!?…])\s+|(?<=。)")
@@ -230,7 +231,7 @@ def windows(text: str) -> list[str]:
 
 
 class Index:
-    """Exemplars by their rarest tokens."""
+    """Exemplars by their rarest tokens: so many that a window without any of them holds less than half of the exemplar."""
 
     def __init__(self, df: dict[str, int], n: int, exemplars: dict[str, tuple[str, ...]] = EXEMPLARS):
         self.entries: list[tuple[str, frozenset[str], float]] = []
@@ -247,15 +248,19 @@ class Index:
                     total = sum(self.weight[t] for t in own)
                     if own:
                         self.entries.append((label, own, total))
-        for i, (label, own, _) in enumerate(self.entries):
+        for i, (label, own, total) in enumerate(self.entries):
             keys = sorted(own, key=lambda t: (-self.weight[t], t))
-            for t in keys if label == "filler" and len(own) > 10 else keys[: min(4, (len(keys) + 1) // 2)]:
+            rest = total
+            for t in keys:
+                if not (label == "filler" and len(own) > 10) and rest < total * (0.5 - 1e-9):
+                    break
                 self.by_token.setdefault(t, []).append(i)
+                rest -= self.weight[t]
         self.keys = frozenset(self.by_token) | {SLOT}
 
     def label(self, window: str) -> tuple[str, int]:
         """(label, words) of a window; label 'slot' for an unfilled slot."""
-        if window.isascii() and "0" not in self.keys and self.keys.isdisjoint(words := _TOKEN.findall(window.lower())):
+        if window.isascii() and not ("0" in self.keys and _DIGIT.search(window)) and self.keys.isdisjoint(words := _TOKEN.findall(window.lower())):
             return "content", len(words)
         words = window_tokens(window)
         held = set(words)
