@@ -88,6 +88,17 @@ def _id(token: str) -> int:
     return xxhash.xxh3_64_intdigest(token)
 
 
+def beginnings(token: str, least: int) -> list[int]:
+    """The ids of a word's beginnings of ``least`` characters or more; long words are hashed on, not copied."""
+    if len(token) <= 64:
+        return [_id(token[:n]) for n in range(least, len(token))]
+    out, h = [], xxhash.xxh3_64(token[: least - 1])
+    for c in token[least - 1 : -1]:
+        h.update(c)
+        out.append(h.intdigest())
+    return out
+
+
 def _mix(h: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     h = h + (ids ^ np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xBF58476D1CE4E5B9 + 2 * n)
     return h ^ (h >> np.uint64(29))
@@ -128,7 +139,6 @@ def begun_hashes(begun: np.ndarray, before: np.ndarray, before2: np.ndarray) ->
 
 def _verdict(text: str) -> str:
     """'cut', 'whole' or 'ask', by what stands at the end."""
-    text = text[-400:]
     if text[-1] not in ".!?。" or text[-3:] == "...":
         tail = text[-80:]
         if OMITTED.search(tail) and not (_BARE_MORE.search(tail) and not _MORE.search(tail)):
@@ -137,9 +147,8 @@ def _verdict(text: str) -> str:
             return "cut" if _OPEN_END.search(tail) or re.search(r"&#?\w{1,7}$", tail) else "ask"
     if text[-1] == "." and ABBREVIATIONS.search(text[-12:]):
         return "cut"
-    if text[-1] not in ")]" and "(" in text:
-        sentence = _NEXT.split(text)[-1]
-        return "cut" if sentence.rfind("(") > sentence.rfind(")") else "whole"
+    if text[-1] not in ")]" and (at := text.rfind("(")) >= 0:
+        return "cut" if at > text.rfind(")") and not _NEXT.search(text, at) else "whole"
     return "whole"
 
 
@@ -161,7 +170,7 @@ def ends(df: DataFrame, id_column: str, source: str, text: str, title: str) -> D
                     if own == head or own == head.rstrip(" .!?-–"):
                         verdict = "whole"
                 if verdict == "ask":
-                    last = tokens(own[-400:])[-max(RUNS) :] or ["�"]
+                    last = tokens(own[own.rfind(" ", 0, max(0, len(own) - 400)) + 1 :])[-max(RUNS) :] or ["�"]
                     word = last[-1]
                     hashes = last_runs(last)
                 rows.append(row)
@@ -217,8 +226,8 @@ def what_follows(df: DataFrame, text: str, title: str, filter_: bytes) -> DataFr
             """The ids of words, and of their beginnings that some text ends with."""
             for t in new:
                 ids[t] = _id(t)
-            parts = [(t, t[:n]) for t in new for n in range(1 + (t[0] == "0"), min(len(t), 25)) if not t.startswith("http")]
-            own = np.fromiter((_id(b) for _, b in parts), np.uint64, len(parts))
+            parts = [(t, i) for t in new if not t.startswith("http") for i in beginnings(t, 1 + (t[0] == "0"))]
+            own = np.fromiter((i for _, i in parts), np.uint64, len(parts))
             ok = _passes(wanted, _seal(_mix(np.zeros(len(own), np.uint64), own, 1), 1))
             kept: dict[str, list[int]] = {}
             for (t, _), i, k in zip(parts, own.tolist(), ok.tolist(), strict=True):
