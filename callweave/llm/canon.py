@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -176,7 +176,7 @@ class Tree:
         return out
 
 
-def readings(value: str, publishers: frozenset[str]) -> list[str]:
+def readings(value: str, publishers: Container[str]) -> list[str]:
     """The plain readings of a typed value, the most literal first."""
     out: dict[str, None] = {}
     todo = [clean(value)]
@@ -199,6 +199,21 @@ def readings(value: str, publishers: frozenset[str]) -> list[str]:
     return [k for k in out if k]
 
 
+class _Asked(list):
+    """Holds whatever is looked for in it, and keeps it."""
+
+    def __contains__(self, key: object) -> bool:
+        self.append(key)
+        return True
+
+
+def heads(value: str) -> list[str]:
+    """What stands where a publisher may stand, in any reading of a value."""
+    asked = _Asked()
+    readings(value, asked)
+    return sorted(set(asked))
+
+
 class Matcher:
     """The best entries for typed values, with a worker's memory of values."""
 
@@ -218,14 +233,19 @@ class Matcher:
         return own
 
     def _best(self, value: str) -> tuple[int, list[int]]:
-        keys = readings(value, self.publishers)
+        (_, _, errors), ids = self.ranked(value, self.publishers)
+        return errors, ids
+
+    def ranked(self, value: str, publishers: Container[str]) -> tuple[tuple[int, int, int], list[int]]:
+        """((kind, reading, errors), ids of the nearest entries): exact hits, then abbreviations, each by the place of the reading, then errors."""
+        keys = readings(value, publishers)
         tree = self.tree
-        for key in keys:
+        for at, key in enumerate(keys):
             if hits := tree.within(key, 0):
-                return 0, sorted(tree.ids[hits[0][1]])
-        for key in keys:
+                return (0, at, 0), sorted(tree.ids[hits[0][1]])
+        for at, key in enumerate(keys):
             if full := {i for k in tree.written_out(key) for i in tree.ids[k]}:
-                return 0, sorted(full)
+                return (1, at, 0), sorted(full)
         found: dict[int, int] = {}
         for key in keys:
             most = allowed(len(key))
@@ -236,7 +256,7 @@ class Matcher:
                     for i in tree.ids[near]:
                         found[i] = min(e, found.get(i, e))
         least = min(found.values(), default=0)
-        return least, sorted(i for i, e in found.items() if e == least)
+        return (2, 0, least), sorted(i for i, e in found.items() if e == least)
 
     def __call__(self, value: str) -> int:
         ids = self.best(value)[1]
@@ -287,18 +307,35 @@ def map_values(
     return typed.join(shard_winners(typed.select("value").distinct(), reference, -(-n // shard_entries)), "value").select(id_column, "pos", "id")
 
 
+def known_heads(values: DataFrame, reference: DataFrame) -> DataFrame:
+    """(value, heads): which of a value's possible publishers the reference has, whatever shard they are in."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(v, h) for v in batch.column(0).to_pylist() for h in heads(v)]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], ["value", "head"])
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([plain(p) for p in batch.column(0).to_pylist() if p], pa.string())], ["head"])
+
+    publishers = reference.select("publisher").distinct().mapInArrow(names, "head string").distinct()
+    return values.select("value").mapInArrow(split, "value string, head string").join(publishers, "head").groupBy("value").agg(F.collect_set("head").alias("heads"))
+
+
 def shard_winners(values: DataFrame, reference: DataFrame, shards: int) -> DataFrame:
-    """(value, id) by ``shards`` trees: every distinct value meets every shard in blocks, the winners merge."""
+    """(value, id) by ``shards`` trees: every distinct value meets every shard in blocks, the winners merge by rank."""
     cut = reference.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    asked = values.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "value", F.pmod(F.xxhash64("value"), F.lit(64)).cast("int").alias("block"))
+    told = values.join(known_heads(values, reference), "value", "left")
+    asked = told.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "value", "heads", F.pmod(F.xxhash64("value"), F.lit(64)).cast("int").alias("block"))
     copies = cut.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(63))))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         match = Matcher(right.to_dict("records"))
-        won = [(v, *match.best(v)) for v in left["value"]]
-        return pd.DataFrame([(v, e, i) for v, e, ids in won for i in ids], columns=["value", "errors", "id"])
+        won = [(v, *match.ranked(v, frozenset(() if h is None else h))) for v, h in zip(left["value"], left["heads"], strict=True)]
+        return pd.DataFrame([(v, *rank, i) for v, rank, ids in won for i in ids], columns=["value", "kind", "reading", "errors", "id"])
 
-    won = asked.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(search, "value string, errors int, id long")
-    best = won.groupBy("value", "errors").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    best = best.groupBy("value").agg(F.min(F.struct("errors", "lo", "hi")).alias("b"))
+    won = asked.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(search, "value string, kind int, reading int, errors int, id long")
+    best = won.groupBy("value", "kind", "reading", "errors").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    best = best.groupBy("value").agg(F.min(F.struct("kind", "reading", "errors", "lo", "hi")).alias("b"))
     return values.join(best, "value", "left").select("value", F.when(F.col("b.lo") == F.col("b.hi"), F.col("b.lo")).otherwise(F.lit(NONE).cast("long")).alias("id"))
