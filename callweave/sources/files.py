@@ -129,7 +129,7 @@ def docx_text(content: bytes) -> str | None:
 
 
 def pdf_text(content: bytes, pages: int = 20) -> str | None:
-    """The text of the first pages of a PDF where the reader is installed, else null."""
+    """The text of a PDF where the reader is installed; null for what is broken, too large, or of more than ``pages`` pages."""
     try:
         from pypdf import PdfReader
     except ImportError:
@@ -137,7 +137,8 @@ def pdf_text(content: bytes, pages: int = 20) -> str | None:
     if not content or len(content) > MOST_BYTES:
         return None
     try:
-        return " ".join(" ".join(page.extract_text() or "" for page in PdfReader(BytesIO(content)).pages[:pages]).split())
+        found = PdfReader(BytesIO(content)).pages
+        return None if len(found) > pages else " ".join(" ".join(page.extract_text() or "" for page in found).split())
     except Exception:  # noqa: BLE001 - any broken file
         return None
 
