@@ -10,7 +10,6 @@ from callweave.functions.text import ascii_digits, collapse
 _MONTH = r"(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 #: One written date: day month year, month day year, or year-month-day.
 DATE = rf"(?:\d{{1,2}}(?:st|nd|rd|th)?\s+(?:of\s+)?{_MONTH}\.?,?\s+\d{{4}}|{_MONTH}\.?\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+\d{{4}}|\d{{4}}-\d{{2}}-\d{{2}})"
-_LABEL = r"(?i)^(?:manuscript(?: extension)? submission deadline|submission deadline|deadline)\s*:?\s*"
 
 
 def written_date(text: Column) -> Column:
@@ -24,8 +23,8 @@ def written_date(text: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    """A listed deadline: an optional label, then a date that gives its own year, month and day."""
-    return written_date(F.regexp_replace(collapse(text), _LABEL, ""))
+    """A listed deadline: a date that gives its own year, month and day, whatever label stands before it."""
+    return written_date(text)
 
 
 def dotted_date(text: Column) -> Column:

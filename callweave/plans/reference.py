@@ -97,9 +97,12 @@ def _url_sql(x: str) -> str:
 
 
 def _status_sql(x: str) -> str:
-    t = _collapse(f"lower({x})")
-    free = f"regexp_replace({t}, '\\bopen[-\\s]+access\\b', '', 'g')"
-    return rf"CASE WHEN regexp_matches(coalesce({t}, ''), '\b(?:closed|completed|(?:not(?: currently)?|no longer) (?:accepting|open))\b') THEN 'closed' WHEN regexp_matches(coalesce({free}, ''), '\b(?:open|accepting|ready to submit)\b') THEN 'open' ELSE 'unknown' END"
+    t = f"list_filter(string_split_regex(replace(regexp_replace({_collapse(f'lower({x})')}, '[^a-z0-9_ -]', ' # ', 'g'), '-', ' - '), ' +'), lambda w: w <> '')"
+    said = f"(' ' || coalesce(array_to_string({t}, ' '), '') || ' ')"
+    has = lambda text_, *phrases: "(" + " OR ".join(f"contains({text_}, ' {p} ')" for p in phrases) + ")"
+    free = f"replace(replace({said}, ' open access ', ' '), ' open - access ', ' ')"
+    shut = ["closed", "completed", *[f"{n} {w}" for n in ("not", "not currently", "no longer") for w in ("accepting", "open")]]
+    return f"CASE WHEN {has(said, *shut)} THEN 'closed' WHEN {has(free, 'open', 'accepting', 'ready to submit')} THEN 'open' ELSE 'unknown' END"
 
 
 def _journal_sql(x: str) -> str:
@@ -108,17 +111,17 @@ def _journal_sql(x: str) -> str:
 
 def _pieces_sql(x: str) -> str:
     t = _collapse(f"replace({x}, '’', '''')")
-    cut = lambda marks: f"list_filter(list_transform(string_split_regex({t}, '[{marks}]+'), lambda p: regexp_replace(p, '^{_W}+|{_W}+$', '', 'g')), lambda p: p <> '')"
-    pieces = f"CASE WHEN length({t}) - length(replace({t}, ':', '')) >= 2 THEN {cut(',;|·•' + chr(92) + 'n:')} ELSE {cut(',;|·•' + chr(92) + 'n')} END"
+    cut = lambda marks: f"list_filter(list_transform(string_split(translate({t}, '{marks}', '{'~' * len(marks)}'), '~'), lambda p: regexp_replace(p, '^{_W}+|{_W}+$', '', 'g')), lambda p: p <> '')"
+    pieces = f"CASE WHEN length({t}) - length(replace({t}, ':', '')) >= 2 THEN {cut('|;,•·:')} ELSE {cut('|;,•·')} END"
     return f"CASE WHEN {t} = '' THEN []::VARCHAR[] WHEN len({pieces}) = 0 THEN [{t}] ELSE {pieces} END"
 
 
 def _label_sql(x: str) -> str:
     aliases = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in text.TOPIC_ALIASES.items()) + "}"
     t = _collapse(f"replace({x}, '’', '''')")
-    t = rf"regexp_replace({t}, '^(?:[^\p{{L}}\p{{N}}\p{{M}}_]+|\d+[.)]\s+)+', '')"
-    t = rf"regexp_replace({t}, '(?:{_W}|[.;,:\-–—/&|])+$', '')"
-    t = rf"trim(regexp_replace({t}, '(?i)^(?:and|or|the|a|an)\s+', ''))"
+    t = rf"substr({t}, length(regexp_extract({t}, '^([0-9]+[.)] |[^\p{{L}}\p{{N}}\p{{M}}_])*')) + 1)"
+    t = f"rtrim({t}, ' |&/—–-:,;.')"
+    t = f"CASE WHEN contains({t}, ' ') AND lower(split_part({t}, ' ', 1)) IN ('a', 'an', 'and', 'or', 'the') THEN substr({t}, strpos({t}, ' ') + 1) ELSE {t} END"
     label = f"coalesce({aliases}[lower({t})], {t})"
     return f"CASE WHEN {t} <> '' AND length({label}) <= 40 AND len(list_filter(string_split_regex({label}, '{_W}+'), lambda w: w <> '')) <= 6 THEN {label} END"
 
