@@ -1,322 +1,264 @@
 """Template residue and error pages: labelled exemplars, an inverted index, TF-IDF containment over passage windows.
 
-A text is cut into windows (lines, and their sentences). Each window is looked up in an inverted index of exemplars
-by their rarest tokens; every exemplar found is scored by containment, the share of the window's TF-IDF weight that
-the exemplar holds, and by coverage, the share of the exemplar's weight that the window holds. Slots of the usual
-template languages are one token. Weights come from document frequencies over the whole corpus.
-
-The label of the best exemplar decides about the window: ``message`` (error, block and scripts-required messages),
-``filler``, ``chrome`` (navigation: neither), ``mention`` (content that speaks of such things, or a short notice of a
-site: content), and without an exemplar content. A window with a slot is residue unless a mention holds it.
-
-A document is excluded that has a slot or filler, or whose messages cover at least half of what is neither
-navigation nor the headline. Null, empty and blank texts are never excluded. Texts are read whole.
+A text is cut into windows (lines, and their sentences); what stands between the marks of a slot is a window within its
+window. Each window is looked up in an inverted index of exemplars (``exemplars``), and every exemplar of which it
+holds a share of the weight (``COVERED``) is a match. A window is residue of a label where the matches with that
+label together contain enough of the window's TF-IDF weight (``CONTAINED``). Tokens are beginnings of words, so that
+forms of a word agree, numbers as one token, and pairs of characters of scripts without blanks; a slot's marks are a
+token too. Weights come from document frequencies over the whole corpus.
+
+Labels: ``message`` (error, block and scripts-required messages), ``filler``, ``slot``, ``chrome`` (navigation), and
+``mention`` (prose that speaks of slots or filler: content). Without a match a window is content.
+
+A document is excluded that has a slot or filler, or whose messages are as long as what is neither navigation nor
+the headline. Null, empty and blank texts are never excluded. Texts are read whole.
 """
 
 from __future__ import annotations
 
+import html
 import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLOT = "slotslotslot"
-# The forms of unfilled slots.
-_SLOT = re.compile(
-    r"\{\{\s*[\w.\-]+\s*\}\}|\{%\s*[\w.\-]+\s*%\}|<%=?\s*[\w.\-]+\s*%>|[$#]\{[\w.\-]+\}|<<\s*[\w.\-]+\s*>>|\[\[\s*[\w.\-]+\s*\]\]|\{[A-Za-z][\w.\-]*\}"
-    r"|(?<![\w_])__[A-Za-z]\w*?__(?![\w_])|%[A-Za-z][A-Za-z_.]*%|\$[A-Za-z][A-Za-z_.]*\$|@@[\w.\-]+@@|\*\|[\w.\-]+\|\*|&laquo;[\w.\-]+&raquo;|&lt;[\w.\-]+&gt;"
-    r"|<(?!/?(?:a|b|i|u|p|s|br|hr|em|h[1-6]|li|ol|ul|td|th|tr|div|img|pre|sub|sup|body|code|head|html|link|meta|span|table|title|center|strong|script|style)\b)[A-Za-z][A-Za-z_. \-]{2,40}>"
-    r"|_{5,}|\bXX[./-]XX[./-](?:20)?XX(?:XX)?\b|\b(?:DD|dd|TT)[ ./-](?:Month|MM|mm)[ ./-](?:YYYY|yyyy|JJJJ)\b|\b[A-Z]+(?:_[A-Z]+)*_(?:GOES_)?HERE\b"
-    r"|\[(?:insert|enter|add|type|your|to\s+be|fill|put|name\s+of|date\s+of|tbd|tba|tbc)\b[^\]\n]{0,60}\]|\[[^\]\n]{1,40}\s+here\]|\((?:add|insert|enter|put|type)\s[^)\n]{1,40}\s+here\)"
-    r"|\[object Object\]|(?<![\w.])(?:NaN|NULL|undefined)(?![\w.])",
-    re.I,
-)
-#: Windows without these hold no slot, which saves the long pattern.
-_MAY_SLOT = re.compile(r"[{\[<$%#@*_]|&l|\((?:add|insert|enter|put|type)|xx[./-]|(?:dd|tt)[ ./-]|nan|null|undefined", re.I)
-_CASED = re.compile(r"nan|null|undefined", re.I)
-_TOKEN = re.compile(rf"{SLOT}|[^\W\d_]+|\d+")
-_DIGIT = re.compile(r"\d")
+from callweave.llm import exemplars as E
+
+#: Characters of a word that count; of filler fewer, since its words are bent.
+STEM, FILLER_STEM = 5, 4
+#: Share of a window that matches must hold, share of an exemplar that makes a match, the same for mentions, and the
+#: share of documents that a token without exemplar is taken to be in.
+CONTAINED, COVERED, MENTIONED, OTHER = 0.55, 0.2, 0.8, 0.02
+
+_TOKEN = re.compile(r"[^\W\d_]+|\d+")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 _LINES = re.compile(r"[\n\r\x0b\x0c\x85  ]+")
 _SENTENCES = re.compile(r"(?<=[.!?…])\s+|(?<=。)")
+#: Marks before and behind the inside of a slot, whatever they mean; only exemplars say which of them make a slot.
+_SPAN = re.compile(r"(?<![\w\\])(&(?:laquo|lt);|\*\||[{\[<%$#@|~(_]+[%#={\[]*)\s*([A-Za-z][\w.\-]*(?:[ '’,:/][\w.\-'’]+)*?)\s*(&(?:raquo|gt);|\|\*|[\]}>%$#@|~)_]+)(?!\w)")
+_MAY_SPAN = re.compile(r"[{\[<%$#@|~(]|__|&l|_HERE|[XxDdMm]{2}[ ./-]")
+_BLANKS = re.compile(r"_{5,}|\b(?:XX|xx|DD|dd|MM|mm)([./-])(?:XX|xx|MM|mm|DD|dd)\1(?:20)?(?:XX|xx|YY|yy)(?:XX|xx|YY|yy)?\b|\b[A-Z]+(?:_[A-Z]+)*_HERE\b|\b(?:DD|dd) (?:Month|MM|mm) (?:YYYY|yyyy)\b")
+LABELS = ("message", "filler", "chrome", "mention")
+#: Names of tags, which are no slots.
+TAGS = frozenset("a abbr b big blockquote body br center code dd div dl dt em font form h head hr html i img input label li link meta nav ol option p pre s script section select small span strong style sub sup table tbody td th thead title tr tt u ul".split())
+#: Shapes whose inside must be known too.
+WEAK = frozenset(("[w]", "<w>", "(w)", "&lt;w&gt;"))
+
+
+
+class _Stems(dict):
+    """The token of a word without characters of scripts without blanks; a worker's memory."""
+
+    def __missing__(self, t: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        out = self[t] = "0" if t[0].isdigit() else t[:STEM]
+        return out
+
 
-# The labelled exemplars.
-EXEMPLARS: dict[str, tuple[str, ...]] = {
-    "message": (
-        "404 Not Found",
-        "403 Forbidden",
-        "Error 403 - access to this listing is forbidden from your network.",
-        "If you think this is a mistake, contact the site office.",
-        "500 Internal Server Error while rendering /calls/12.",
-        "502 Bad Gateway",
-        "<html><head><title>502 Bad Gateway</title></head><body><center><h1>502 Bad Gateway</h1></center></body></html>",
-        "503 Service Unavailable.",
-        "The server is busy, please try again in 5 minutes.",
-        "Gateway timeout",
-        "Connection reset",
-        "Server error",
-        "Fatal error: cannot connect to the listing database in /srv/site/calls.inc on line 12",
-        "Traceback (most recent call last): template 'call.html', line 3: KeyError: 'deadline'",
-        "Problem loading page",
-        "Page unavailable",
-        "Page not found",
-        "Not available",
-        "Unexpected response",
-        "Whoops",
-        "Oops!",
-        "We hit a snag",
-        "Status 504",
-        "HTTP 500",
-        "Error 404",
-        "Erreur 503",
-        "Fehler 500",
-        "Fehlernummer 12",
-        "Error interno",
-        "Error reference 5-25.",
-        "Incident 3852-16.",
-        "Ray 18f26c51.",
-        "Request blocked",
-        "Access denied",
-        "Zugriff verweigert.",
-        "Accès refusé.",
-        "Acceso denegado.",
-        "Your request was turned away by the firewall (rule 34).",
-        "Our systems have seen unusual traffic from your address.",
-        "Complete the puzzle to go on.",
-        "Please confirm that you are not a robot to see this call.",
-        "Checking your browser before you continue. This takes up to 5 seconds.",
-        "Too many requests. You have reached the limit of 25 pages per hour.",
-        "アクセスが集中しています。30秒後に再度お試しください。",
-        "Your session has expired.",
-        "The link you used has expired.",
-        "The page was withdrawn.",
-        "The backend returned no data for id 1217.",
-        "An unhandled exception was raised in the listing module.",
-        "The collection you followed does not exist any more.",
-        "This address does not point to a listing.",
-        "We could not load this part of the site.",
-        "The calls server did not answer within 30 seconds.",
-        "Request timed out after 3000 ms while loading the collection list.",
-        "DNS lookup failed for the requested host; the gateway returned an empty reply.",
-        "Sorry, something went wrong on our end. Our team has been told (request 12).",
-        "The page you requested could not be found. It may have been moved or removed.",
-        "We are working on it.",
-        "We apologise for any inconvenience.",
-        "Please retry later.",
-        "Try again later.",
-        "Reload to continue.",
-        "Go to the start page.",
-        "Go back to the start page or use the search box.",
-        "Check the spelling of the address.",
-        "Contact the webmaster if this persists.",
-        "The site is down for maintenance until 20 November 2028.",
-        "This collection is not available in your region.",
-        "Die angeforderte Seite wurde nicht gefunden. Bitte prüfen Sie die Adresse.",
-        "Die Seite ist derzeit nicht erreichbar.",
-        "Bitte versuchen Sie es später erneut.",
-        "La page demandée n'existe plus.",
-        "La page est momentanément inaccessible.",
-        "Merci de réessayer plus tard.",
-        "Página no encontrada. Vuelva al inicio o use el buscador.",
-        "El recurso solicitado no existe.",
-        "Inténtelo de nuevo más tarde.",
-        "お探しのページは見つかりませんでした。URLをご確認ください。",
-        "JavaScript is disabled in your browser. Please enable it to view this page.",
-        "You need to enable scripts to run this app.",
-        "You need to enable JavaScript to run this app.",
-        "This site requires cookies and JavaScript. Turn both on and reload.",
-        "To protect authors from automated access we need scripts switched on before the call can be shown.",
-        "Your browser is out of date and cannot display this listing. Please update it and allow scripts.",
-        "Loading collections… If nothing happens, your browser may be blocking scripts.",
-        "noscript: this listing is drawn in the browser and cannot be read without client-side code.",
-        "Veuillez activer JavaScript pour afficher cet appel.",
-        "Bitte aktivieren Sie JavaScript, um die Ausschreibung zu lesen.",
-        "Active JavaScript para ver la convocatoria.",
-        "このページを表示するには、JavaScriptを有効にしてください。",
-    ),
-    "filler": (
-        "Lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua",
-        "Ut enim ad minim veniam quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat duis aute irure",
-        "dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur excepteur sint occaecat cupidatat",
-        "lorem ipsum adipa aliquen ametra cillu commodu consetu dolemi duisel eiusta esseli exerci fugiat incidu irurem labora"
-        " magnis minimo nisiter nullami pariatus quisnar sedam sitan tempori ullamo utreni velitor voluptan",
-        "Text goes here.",
-        "Your description here.",
-        "Summary text to follow.",
-        "Add a short introduction here (max. 200 words).",
-        "This is a sample paragraph. Replace it before publishing.",
-        "Dummy content for layout purposes only.",
-        "Body copy body copy body copy.",
-        "Blah blah blah.",
-        "Texte à venir.",
-        "Hier steht später der Text.",
-        "Texto de ejemplo.",
-        "ここに本文が入ります。",
-        "TBD TBD TBD",
-        "test test test",
-        "asdf asdf asdf qwer",
-        "xxx xxxx xx xxxxx xxx",
-    ),
-    "chrome": (
-        "Home | Journals | Calls | About",
-        "Menu  Search  Sign in",
-        "Skip to main content",
-        "Back to top",
-        "Start page",
-        "© 2027 editorial office",
-        "All rights reserved.",
-    ),
-    "mention": (
-        "The old address may return 404 Not Found; use the link above.",
-        "If the submission link shows an error 503, try again later.",
-        "Cookies help us to count visits.",
-        "Please enable JavaScript to use the comment form.",
-        "Some figures need scripts to be displayed.",
-        "Earlier versions asked readers to enable JavaScript; the new listing works without it.",
-        'We also invite work on how readers react to "404 not found" pages in hospitals.',
-        'Error monitoring after a "service unavailable" message is a welcome example of collective control.',
-        'How do older adults respond when a robot says "access denied"?',
-        "One strand asks whether older adults can use journal sites when JavaScript is switched off.",
-        "CAPTCHA puzzles and their burden on care-home residents form a further theme.",
-        "The placeholder effect, i.e. empty turns in collective word finding, deserves more study.",
-        "Studies of typography that use lorem ipsum as neutral material are in scope.",
-        "In the form letter, the slot {{name}} stands for the author and is filled in when the letter is sent.",
-        "The template <b>call.docx</b> must be used; replace every [bracketed] hint before you send it.",
-        "A value of 0% or NaN in the shared data file has to be explained.",
-        "Notation such as ${\\alpha}_i$ and $\\beta$ may be used in the abstract.",
-        "Effect sizes should be given with intervals [low, high] and exact values {p < .05 is not enough}.",
-        "Budgets between $500 and $900 per site are typical (see tables [3] and [4]).",
-    ),
-}
-#: What an exemplar must hold of a window, and the share of documents that a token without exemplar is taken to be in.
-CONTAINED, MENTIONED, OTHER = 0.66, 0.6, 0.005
-
-
-def _slotted(text: str) -> str:
-    def put(m: re.Match) -> str:
-        return m.group() if _CASED.fullmatch(m.group()) and m.group() not in ("NaN", "NULL", "undefined") else f" {SLOT} "
-
-    return _SLOT.sub(put, text)
+_stems = _Stems()
 
 
 def window_tokens(window: str) -> list[str]:
-    """Words in lower case, numbers as one token, character pairs of scripts without blanks; slots as one token."""
+    """Beginnings of words in lower case, numbers as one token, character pairs of scripts without blanks."""
+    words = _TOKEN.findall(window.lower())
+    if window.isascii() or not _CJK.search(window):
+        return list(map(_stems.__getitem__, words))
     out: list[str] = []
-    for t in _TOKEN.findall(window.lower()):
-        if t[0].isdigit():
-            out.append("0")
-        elif _CJK.search(t):
+    for t in words:
+        if _CJK.search(t):
             out += [t[i : i + 2] for i in range(max(1, len(t) - 1))]
         else:
-            out.append(t)
+            out.append(_stems[t])
     return out
 
 
 def windows(text: str) -> list[str]:
-    """The passage windows of a text: the sentences of its lines, slots made one token."""
+    """The passage windows of a text: the sentences of its lines."""
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text.replace("…", "… "))
-    out: list[str] = []
-    for line in _LINES.split(text):
-        if not (line := line.strip()):
-            continue
-        out += [_slotted(w) if _MAY_SLOT.search(w) else w for w in _SENTENCES.split(line) if w.strip()]
+    return [w for line in _LINES.split(text) if not line.isspace() for w in _SENTENCES.split(line) if w and not w.isspace()]
+
+
+def spans(window: str) -> list[tuple[str, list[str], str]]:
+    """(shape, tokens inside, inside) for what stands between marks; a shape is the marks with ``w`` for one word, ``w w`` for more."""
+    out = []
+    for m in _SPAN.finditer(window):
+        inside = m.group(2)
+        shape = f"{m.group(1)}w{m.group(3)}"
+        out.append((shape, window_tokens(inside), inside))
+    if (m := _BLANKS.search(window)) is not None:
+        out.append(("blank", [], m.group()))
     return out
 
 
+class _Memory(dict):
+    """What a function of a token gives; a worker's memory."""
+
+    def __init__(self, of: Callable[[str], float]):
+        self.of = of
+
+    def __missing__(self, t: str) -> float:
+        if len(self) > 500_000:
+            self.clear()
+        out = self[t] = self.of(t)
+        return out
+
+
 class Index:
-    """Exemplars by their rarest tokens: so many that a window without any of them holds less than half of the exemplar."""
+    """An inverted index of labelled exemplars: for each token its postings, a row of ones at the exemplars that have it."""
 
-    def __init__(self, df: dict[str, int], n: int, exemplars: dict[str, tuple[str, ...]] = EXEMPLARS):
-        self.entries: list[tuple[str, frozenset[str], float]] = []
-        self.by_token: dict[str, list[int]] = {}
-        self.weight: dict[str, float] = {}
+    def __init__(self, df: dict[str, int], n: int):
+        entries = exemplar_sets()
+        vocabulary = sorted(frozenset(t for _, own in entries for t in own) | slot_tokens())
+        self.place = {t: i for i, t in enumerate(vocabulary)}
+        self.weight = {t: math.log(1 + max(n, 1) / (1 + df.get(t, 0))) for t in vocabulary}
         self.other = math.log(1 + max(n, 1) / (1 + OTHER * n))
-        for label, texts in exemplars.items():
-            for text in texts:
-                parts = [_slotted(text)] if label in ("mention", "filler") else windows(text)
-                for part in parts:
-                    own = frozenset(window_tokens(part))
-                    for t in own:
-                        self.weight[t] = math.log(1 + max(n, 1) / (1 + df.get(t, 0)))
-                    total = sum(self.weight[t] for t in own)
-                    if own:
-                        self.entries.append((label, own, total))
-        for i, (label, own, total) in enumerate(self.entries):
-            keys = sorted(own, key=lambda t: (-self.weight[t], t))
-            rest = total
-            for t in keys:
-                if not (label == "filler" and len(own) > 10) and rest < total * (0.5 - 1e-9):
-                    break
-                self.by_token.setdefault(t, []).append(i)
-                rest -= self.weight[t]
-        self.keys = frozenset(self.by_token) | {SLOT}
+        self.weights = np.array([self.weight[t] for t in vocabulary], np.float32)
+        self.postings = np.zeros((len(vocabulary), len(entries)), np.float32)
+        for i, (_, own) in enumerate(entries):
+            self.postings[[self.place[t] for t in own], i] = 1
+        labels = np.array([label for label, _ in entries])
+        self.labels = {label: labels == label for label in LABELS}
+        self.fill = {t: self.weight[t] for label, own in entries if label == "filler" for t in own}
+        #: What a window must hold of each exemplar.
+        self.needed = self.weights @ self.postings * np.where(labels == "mention", MENTIONED, COVERED).astype(np.float32) - np.float32(1e-4)
+        self.slots: dict[str, set[str]] = {"blank": set()}
+        for text in E.SLOTS:
+            for shape, inside, _ in spans(text):
+                self.slots.setdefault(shape, set()).update(inside)
+        self.unset = frozenset(E.UNSET)
+        lorem = frozenset(w[:FILLER_STEM] for w in _TOKEN.findall(E.LOREM.lower()) if len(w) >= FILLER_STEM)
+        self.bent = _Memory(lambda t: int(t[:FILLER_STEM] in lorem))
+        self.known, self.all = _Memory(lambda t: self.weight.get(t, 0.0)), _Memory(lambda t: self.weight.get(t, self.other))
+
+    def _slot(self, window: str) -> bool:
+        for shape, inside, written in spans(window):
+            known = self.slots.get(shape)
+            if known is None:
+                continue
+            if shape not in WEAK:
+                if len(written) > 2 or shape[0] in "{<[":
+                    return True
+                continue
+            if shape == "<w>" and written.lower() in TAGS:
+                continue
+            total = sum(map(self.all.__getitem__, inside))
+            if inside and sum(self.weight.get(t, self.other) for t in inside if t in known) >= CONTAINED * total:
+                return True
+        return False
 
-    def label(self, window: str) -> tuple[str, int]:
-        """(label, words) of a window; label 'slot' for an unfilled slot."""
-        if window.isascii() and not ("0" in self.keys and _DIGIT.search(window)) and self.keys.isdisjoint(words := _TOKEN.findall(window.lower())):
-            return "content", len(words)
+    def matches(self, held: Iterable[str]) -> dict[str, float]:
+        """By label, the weight of a window's tokens that its matches hold."""
+        places = [i for t in held if (i := self.place.get(t)) is not None]
+        rows, weights = self.postings[places], self.weights[places]
+        hit = weights @ rows >= self.needed
+        return {label: float(weights[rows[:, own].any(axis=1)].sum()) for label, of in self.labels.items() if (own := hit & of).any()}
+
+    def glance(self, window: str) -> tuple[str, int, list[str]]:
+        """(label, words, tokens to look up) of a window; label '' where the postings have to be asked."""
         words = window_tokens(window)
         held = set(words)
-        found = {i for t in held if (ids := self.by_token.get(t)) for i in ids}
-        slot = SLOT in held
-        if not found and not slot:
-            return "content", len(words)
-        weight = self.weight
-        total = sum(weight.get(t, self.other) for t in held)
+        slot = _MAY_SPAN.search(window) is not None and self._slot(window) or self._unset(window)
+        bent = sum(map(self.bent.__getitem__, held))
+        filler = bent >= 3 and bent >= 0.5 * len(held)
+        if slot or filler:
+            return ("mention" if "mention" in self.matches(sorted(held)) else "slot" if slot else "filler"), len(words), []
+        if sum(map(self.known.__getitem__, held)) < CONTAINED * sum(map(self.all.__getitem__, held)):
+            return "content", len(words), []  # all exemplars together hold too little
+        return "", len(words), sorted(held)
+
+    def may_fill(self, held: list[str]) -> bool:
+        """False where no exemplar of filler can contain enough of a window."""
+        inside = sum(self.fill[t] for t in held if t in self.fill)
+        return inside > 0 and inside >= CONTAINED * sum(map(self.all.__getitem__, held))
+
+    def judge(self, held: list[str]) -> str:
+        """The label of a window without slot, by its tokens."""
+        total = sum(map(self.all.__getitem__, held))
         best, score = "content", 0.0
-        parts: dict[str, set[str]] = {}
-        for i in found:
-            label, own, whole = self.entries[i]
-            common = own & held
-            inside = sum(weight[t] for t in common)
-            if label == "mention":
-                if inside / total >= MENTIONED and inside / whole >= 0.5 or inside / whole >= 0.8:
-                    return "mention", len(words)
-                continue
-            if label == "filler" and len(own) > 10 or inside / whole >= 0.5:
-                parts.setdefault(label, set()).update(common)
-        if slot:
-            return "slot", len(words)
-        for label, common in parts.items():
-            c = sum(weight[t] for t in common) / total
-            if c >= CONTAINED and c > score:
-                best, score = label, c
-        return best, len(words)
+        for label, inside in self.matches(held).items():
+            if label != "mention" and inside >= CONTAINED * total and inside > score:
+                best, score = label, inside
+        return best
+
+    def label(self, window: str) -> tuple[str, int]:
+        """(label, words) of a window."""
+        label, n, held = self.glance(window)
+        return label or self.judge(held), n
+
+    def _unset(self, window: str) -> bool:
+        """A value that was printed for want of another: it is all that stands behind a field's name."""
+        return window.rpartition(":")[2].strip(" .") in self.unset
+
+
+def exemplar_sets() -> list[tuple[str, frozenset[str]]]:
+    """(label, tokens) of every exemplar; those of several sentences are one for each sentence."""
+    out: dict[tuple[str, frozenset[str]], None] = {}
+    for label, texts in (("message", (*E.STATUS_LINES, *E.MESSAGES)), ("filler", E.FILLERS), ("chrome", E.CHROME)):
+        for text in texts:
+            for part in windows(text):
+                out[label, frozenset(window_tokens(part))] = None
+    for text in E.MENTIONS:
+        out["mention", frozenset(window_tokens(text))] = None
+    return [(label, own) for label, own in out if own]
 
 
 def is_residue(text: str | None, index: Index) -> bool:
-    """True where slots or filler stand for content, or messages cover most of the text."""
+    """True where slots or filler stand for content, or messages are as long as the content."""
     if not text or not text.strip():
         return False
-    told = Counter()
+    told = {"content": 0, "message": 0, "chrome": 0, "filler": 0}
+    open_: list[tuple[int, list[str]]] = []
     head = True
     for window in windows(text):
-        label, n = index.label(window)
+        label, n, held = index.glance(window)
         if label in ("slot", "filler"):
             return True
+        if not label and head:
+            label = index.judge(held)
+        if label == "filler":
+            return True
+        if not label:
+            open_.append((n, held))
+            continue
         if label == "content" and head and not window.rstrip().endswith((".", "!", "。")):
             head = False  # the headline
             continue
         if label != "chrome":
             head = False
         told["content" if label == "mention" else label] += n
+    # Long windows first: what is left cannot change the answer once content outweighs it, unless it is filler.
+    rest = sum(n for n, _ in open_)
+    for n, held in sorted(open_, reverse=True):
+        if told["content"] > told["message"] + rest and not index.may_fill(held):
+            rest -= n
+            continue
+        label = index.judge(held)
+        if label == "filler":
+            return True
+        told[label] += n
+        rest -= n
     return told["message"] > 0 and told["message"] >= told["content"]
 
 
-def exemplar_tokens(exemplars: dict[str, tuple[str, ...]] = EXEMPLARS) -> frozenset[str]:
-    return frozenset(t for texts in exemplars.values() for x in texts for t in window_tokens(_slotted(x)))
+def slot_tokens() -> frozenset[str]:
+    return frozenset(t for text in E.SLOTS for _, inside, _ in spans(text) for t in inside)
+
+
+def exemplar_tokens() -> frozenset[str]:
+    return frozenset(t for _, own in exemplar_sets() for t in own) | slot_tokens()
 
 
 def document_frequencies(df: DataFrame, text: str) -> tuple[dict[str, int], int]:
     """How many documents have each token of the exemplars, and how many documents have text: over the whole corpus."""
-    wanted = exemplar_tokens() - {SLOT, "0"}  # slots count as rare, numbers as common
+    wanted = exemplar_tokens() - {"0"}  # numbers count as common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = Counter(), 0
@@ -324,8 +266,7 @@ def document_frequencies(df: DataFrame, text: str) -> tuple[dict[str, int], int]
             for value in batch.column(0).to_pylist():
                 if value:
                     n += 1
-                    words = _TOKEN.findall(value.lower()) if value.isascii() else window_tokens(value)
-                    counts.update(wanted.intersection(words))
+                    counts.update(wanted.intersection(window_tokens(value)))
         yield pa.RecordBatch.from_arrays([pa.array([*counts, ""]), pa.array([*counts.values(), n], pa.int64())], ["token", "n"])
 
     rows = df.select(text).where(F.col(text).isNotNull()).mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()  # a row a token of the exemplars

@@ -1,4 +1,4 @@
-from callweave.llm.residue import Index, is_residue, mark_residue, window_tokens, windows, without_residue
+from callweave.llm.residue import Index, is_residue, mark_residue, spans, window_tokens, windows, without_residue
 
 SCHEMA = "doc_id long, text string, is_residue string, token string"
 CALL = "The Kakitedo collection invites case studies on rural teleoperation. Reports on shift workers are rare, and we hope to change that. Editors will check fit within 40 days."
@@ -37,6 +37,7 @@ def test_nulls_blanks_long_texts_and_empty_tables(spark):
 
 
 def test_windows():
-    assert [w.strip() for w in windows("One. Two?\n\nThree {{x}}")] == ["One.", "Two?", "Three  slotslotslot"]
-    assert window_tokens("A 12 Test") == ["a", "0", "test"]
+    assert [w.strip() for w in windows("One. Two?\n\nThree {{x}}")] == ["One.", "Two?", "Three {{x}}"]
+    assert window_tokens("A 12 Testing 視線計") == ["a", "0", "testi", "視線", "線計"]
+    assert spans("Dear {{ a.b }} and [x y]") == [("{{w}}", ["a", "b"], "a.b"), ("[w]", ["x", "y"], "x y")]
     assert is_residue(None, Index({}, 0)) is False
