@@ -75,7 +75,28 @@ MESSAGES = (
     "<!DOCTYPE html><html lang=en><head><meta charset=utf-8><title>Error</title></head><body><center><h1>Error</h1></center><hr><center>nginx</center></body></html>",
     "<Error><Code>AccessDenied</Code><Message>Access Denied</Message><RequestId>7A</RequestId></Error>",
     "There is nothing here. This is not the web page you are looking for.",
+    "You may not be able to visit this page because of an out-of-date bookmark, a search engine that has an out-of-date listing for this site, or a mistyped address.",
+    "An error has occurred while processing your request. If difficulties persist, please contact the System Administrator of this site.",
+    "Sorry, the file you have requested does not exist. Make sure that you have the correct URL and the file exists.",
+    "Hmm, this page doesn't exist. Try searching for something else. Something went wrong, try reloading.",
+    "This content isn't available at the moment. When this happens, it's usually because the owner removed it or only shared it with a small group.",
+    "Our CDN was unable to reach our servers. We had to block your request due to a network policy.",
+    "Sorry, we just need to make sure you're not a robot. Press and hold to confirm you are a human and not a bot.",
+    "There was a problem providing the content you requested. Please contact our support team and provide the details below. Reference number: 5a1c",
+    "Page not found. Sorry, the page you requested is unavailable. The link you followed might be broken, outdated, or no longer exist.",
+    "Your access has been blocked because you are using an automated process to retrieve content from the site.",
+    "Sorry, you are not allowed to access this page. It seems we can't find what you're looking for. Perhaps searching can help.",
+    "Application error. An error occurred in the application and your page could not be served. A client-side exception has occurred, see the browser console.",
+    "Looks like you've followed a broken link or entered a URL that doesn't exist on this site.",
+    "Either the server is overloaded or there is an error in the application. Problem accessing the page. Reason: not found",
+    "Sorry, the page you are looking for is currently unavailable. If you are the system administrator of this resource then you should check the error log for details.",
+    "You have an error in your SQL syntax. Lost connection to MySQL server during query. Connection to the database failed.",
+    "No server is available to handle this request. Unknown domain. Please check that this domain has been added to a service.",
+    "Our servers are currently under maintenance or experiencing a technical problem. There is currently no text in this page.",
+    "Your account has been suspended. This account has been disabled. The domain has expired. This site is offline or closed.",
     # scripts and cookies
+    "Please enable JS and disable any ad blocker. Once this check is complete, the website will open automatically.",
+    "Cookies are disabled for this browser. This library requires cookies for authentication and use of other site features.",
     "Please enable JavaScript in your browser to continue using this site. JavaScript must be enabled to view this page.",
     "You need to enable JavaScript to use this application. This app requires scripts to run. It works only with JavaScript turned on.",
     "We're sorry but this app doesn't work properly without JavaScript enabled. Please enable it to continue.",
@@ -91,18 +112,24 @@ MESSAGES = (
     "Die Website ist wegen Wartungsarbeiten vorübergehend nicht erreichbar. Der Dienst ist derzeit nicht verfügbar, der Server ist überlastet.",
     "Der Zugriff auf diese Seite wurde verweigert. Sie haben keine Berechtigung. Ihre Sitzung ist abgelaufen.",
     "Bitte aktivieren Sie JavaScript in Ihrem Browser, um diese Seite zu lesen und alle Funktionen nutzen zu können.",
+    "Leider konnten wir die gesuchte Seite nicht finden. Die Webseite kann nicht angezeigt werden. Verbindung fehlgeschlagen, Zeitüberschreitung.",
+    "Ihr Browser ist veraltet oder JavaScript ist deaktiviert. Laden Sie die Seite neu. Zurück zur Startseite.",
     # French
     "Page introuvable. La page que vous recherchez ou avez demandée n'existe pas, n'existe plus ou a été déplacée.",
     "Une erreur est survenue. Veuillez réessayer plus tard. Erreur interne du serveur. Merci d'essayer de nouveau dans quelques minutes. Code d'erreur 500",
     "Le site est en maintenance. La page est temporairement inaccessible, le service est momentanément indisponible.",
     "L'accès à cette page vous est refusé. Votre session a expiré.",
     "Veuillez activer JavaScript dans votre navigateur pour afficher cette page et continuer.",
+    "Oups, cette page est introuvable. Une erreur s'est produite. Actualisez la page. Retour à la page d'accueil.",
+    "JavaScript est désactivé ou votre navigateur n'est pas à jour.",
     # Spanish
     "La página que busca no existe. Página no encontrada; vuelva a la página de inicio o utilice el buscador. El recurso solicitado no fue encontrado.",
     "Se ha producido un error interno. Error del servidor. Por favor, inténtelo de nuevo más tarde o en unos minutos. Código de error 500",
     "El servicio no está disponible temporalmente por mantenimiento.",
     "El acceso a esta página está denegado. Su sesión ha caducado.",
     "Por favor, active JavaScript en su navegador para ver esta página y continuar.",
+    "Lo sentimos, no hemos encontrado la página. Ha ocurrido un problema. Recargue la página. Volver a la página principal.",
+    "JavaScript está desactivado o su navegador no es compatible.",
     # Italian, Portuguese
     "La pagina richiesta non è stata trovata. Si è verificato un errore, riprova più tardi. Abilita JavaScript nel browser.",
     "A página solicitada não foi encontrada. Ocorreu um erro, tente novamente mais tarde. Ative o JavaScript no navegador.",
@@ -113,6 +140,8 @@ MESSAGES = (
     "ただいまメンテナンス中です。ご迷惑をおかけしております。",
     "アクセスが拒否されました。セッションの有効期限が切れました。",
     "お使いのブラウザではJavaScriptが無効になっています。このサイトを表示するにはJavaScriptを有効に設定してください。",
+    "申し訳ございません。ご指定のページは表示できません。時間をおいて再度アクセスしてください。トップページへ戻る。",
+    "お使いのブラウザはサポートされていません。通信エラーです。サービスを一時停止しております。サーバーに接続できません。",
     "页面不存在。服务器错误，请稍后再试。请启用JavaScript。",
 )
 # Filler that stands where content belongs. The first is the classical text, taken as one passage.
@@ -145,13 +174,17 @@ FILLERS = (
 # Unfilled slots, one or more for each usual template language and letter template.
 SLOTS = (
     "{{ user.name }} {{title}}", "{%block%} {% endif %}", "<%= post.title %> <%name%>", "${name}", "#{name}", "<<FirstName>>", "[[pagetitle]]", "{username}", "__NAME__", "%RECIPIENT%", "$SUBJECT$",
-    "@@NAME@@", "@NAME@", "*|FNAME|*", "&laquo;AddressBlock&raquo;", "&lt;name&gt;", "##NAME##", "|NAME|", "~~NAME~~",
-    "[insert your text here] [your name] [enter a title] [add the date] [type the name of the company] [date] [to be confirmed] [TBD] [TBA] [TBC] [put the link here] [fill in the topic] [journal name] [placeholder] [short description] [recipient]",
+    "@@NAME@@", "@NAME@", "[%name%]", "[[+name]]", "{#name#}", "<#name#>", "<?name>", "{$name}", "*|FNAME|*", "&laquo;AddressBlock&raquo;", "&lt;name&gt;", "##NAME##",
+    "[insert your text here] [your name] [enter a title] [add the date] [type the name of the company] [date] [to be confirmed] [TBD] [TBA] [TBC] [put the link here] [fill in the topic] [journal name] [placeholder] [short description] [recipient]"
+    " [first name] [last name] [position] [department] [institution] [phone] [website] [time] [location] [venue] [amount] [event] [organization] [editor] [subject] [theme] [number] [year] [month] [deadline]"
+    " [issue] [volume] [summary] [abstract] [introduction] [keywords] [details] [more information] [section] [paragraph] [sentence] [image] [address] [city] [country]",
     "<insert your name here> <your title> <enter the date> <name of the company> <email address> <journal name> <topic> <deadline> <to be confirmed> <add text>",
     "(insert your text here) (add the date here) (enter the name here) (type a title here) (put the link here)",
 )
 # Values that a program printed for want of another, as it writes them.
-UNSET = ("undefined", "NaN", "NULL", "[object Object]", "[object Undefined]")
+UNSET = ("undefined", "NaN", "NULL", "[object Object]", "[object Undefined]", "Invalid Date", "Invalid date")
+BEFORE_VALUES = ("for", "of", "by", "on", "until", "before", "to", "at", "in", "from", "with", "and", "or", "is", "are", "the", "Dear", "dear", "about", "Deadline", "deadline", "than")
+BEHIND_VALUES = ("is", "are", "and", "or", "by", "on", "in", "until", "before", "to", "at", "will", "for", "with", "from", "invites", "welcomes", "words", "days", "papers")
 CHROME = (
     "Home | About us | Contact | Journals | Calls | News | Log in",
     "Menu Search Sign in Register Cart",
@@ -162,5 +195,5 @@ CHROME = (
 # How prose speaks of a slot or of filler instead of leaving one.
 MENTIONS = (
     "stands for", "is replaced by", "is replaced with", "are replaced by", "will be replaced", "is a placeholder for", "the placeholder", "the variable",
-    "notation", "syntax", "merge field", "template language", "such as", "may be used", "for example",
+    "notation", "syntax", "merge field", "template language", "such as", "may be used", "for example", "in the format", "the format", "given as", "a value of", "values of",
 )

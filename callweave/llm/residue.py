@@ -32,23 +32,32 @@ from callweave.llm import exemplars as E
 
 #: Characters of a word that count; of filler fewer, since its words are bent.
 STEM, FILLER_STEM = 5, 4
-#: Share of a window that matches must hold, share of an exemplar that makes a match, the same for mentions, and the
-#: share of documents that a token without exemplar is taken to be in.
-CONTAINED, COVERED, MENTIONED, OTHER = 0.55, 0.2, 0.8, 0.02
+#: Share of a window that matches must hold, share of an exemplar that makes a match, the same for mentions.
+CONTAINED, COVERED, MENTIONED = 0.55, 0.2, 0.8
+#: The share of documents that a token without exemplar is taken to be in, and the least share of any token: weights
+#: follow shares of documents and not their number, so that they are alike at every size of the corpus.
+OTHER, LEAST = 0.02, 0.0005
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 _LINES = re.compile(r"[\n\r\x0b\x0c\x85  ]+")
 _SENTENCES = re.compile(r"(?<=[.!?…])\s+|(?<=。)")
 #: Marks before and behind the inside of a slot, whatever they mean; only exemplars say which of them make a slot.
-_SPAN = re.compile(r"(?<![\w\\])(&(?:laquo|lt);|\*\||[{\[<%$#@|~(_]+[%#={\[]*)\s*([A-Za-z][\w.\-]*(?:[ '’,:/][\w.\-'’]+)*?)\s*(&(?:raquo|gt);|\|\*|[\]}>%$#@|~)_]+)(?!\w)")
-_MAY_SPAN = re.compile(r"[{\[<%$#@|~(]|__|&l|_HERE|[XxDdMm]{2}[ ./-]")
-_BLANKS = re.compile(r"_{5,}|\b(?:XX|xx|DD|dd|MM|mm)([./-])(?:XX|xx|MM|mm|DD|dd)\1(?:20)?(?:XX|xx|YY|yy)(?:XX|xx|YY|yy)?\b|\b[A-Z]+(?:_[A-Z]+)*_HERE\b|\b(?:DD|dd) (?:Month|MM|mm) (?:YYYY|yyyy)\b")
+_SPAN = re.compile(
+    r"((?<!\\)[{\[<]+[%#=+]*|&(?:laquo|lt);|(?<![A-Za-z0-9_\\])(?:[$#]\{|\*\||[%$#@|~(_]+))\s*([^\W\d_][\w.\-]*(?:[ '’,:/][\w.\-'’]+)*?)\s*([%#]?[\]}>]+|&(?:raquo|gt);|(?:\|\*|[%$#@|~)_]+)(?![A-Za-z0-9_]))"
+)
+_MAY_SPAN = re.compile(r"[{\[<%$#@|~(]|__|&l|_HERE|[XxDdTtJjMm]{2}[ ./-]")
+_BLANKS = re.compile(
+    r"_{5,}|\b(?:XX|xx)([./-])(?:XX|xx)\1(?:20)?(?:XX|xx){1,2}\b|\b[A-Z]+(?:_[A-Z]+)*_HERE\b|\b(?:DD|dd|TT|tt|JJ|jj)(?:[./-]| )(?:MM|mm|Month|month)(?:[./-]| )(?:YYYY|yyyy|JJJJ|jjjj|AAAA|aaaa)\b|\b(?:YYYY|yyyy)-(?:MM|mm)-(?:DD|dd)\b"
+)
 LABELS = ("message", "filler", "chrome", "mention")
 #: Names of tags, which are no slots.
 TAGS = frozenset("a abbr b big blockquote body br center code dd div dl dt em font form h head hr html i img input label li link meta nav ol option p pre s script section select small span strong style sub sup table tbody td th thead title tr tt u ul".split())
 #: Shapes whose inside must be known too.
-WEAK = frozenset(("[w]", "<w>", "(w)", "&lt;w&gt;"))
+WEAK = frozenset(("[w]", "(w)"))
+#: What stands before a printed value, and behind it if anything does.
+_UNSET = re.compile(rf"(?:^|[:,(]\s*|\b(?:{'|'.join(E.BEFORE_VALUES)})\s+)(?:{'|'.join(map(re.escape, E.UNSET))})(?=\s*(?:$|[.,;:!?)]|(?:{'|'.join(E.BEHIND_VALUES)})\b))", re.M)
+_MAY_UNSET = re.compile("|".join(map(re.escape, E.UNSET)))
 
 
 
@@ -118,8 +127,8 @@ class Index:
         entries = exemplar_sets()
         vocabulary = sorted(frozenset(t for _, own in entries for t in own) | slot_tokens())
         self.place = {t: i for i, t in enumerate(vocabulary)}
-        self.weight = {t: math.log(1 + max(n, 1) / (1 + df.get(t, 0))) for t in vocabulary}
-        self.other = math.log(1 + max(n, 1) / (1 + OTHER * n))
+        self.weight = {t: math.log(1 + 1 / (df.get(t, 0) / max(n, 1) + LEAST)) for t in vocabulary}
+        self.other = math.log(1 + 1 / (OTHER + LEAST))
         self.weights = np.array([self.weight[t] for t in vocabulary], np.float32)
         self.postings = np.zeros((len(vocabulary), len(entries)), np.float32)
         for i, (_, own) in enumerate(entries):
@@ -133,7 +142,6 @@ class Index:
         for text in E.SLOTS:
             for shape, inside, _ in spans(text):
                 self.slots.setdefault(shape, set()).update(inside)
-        self.unset = frozenset(E.UNSET)
         lorem = frozenset(w[:FILLER_STEM] for w in _TOKEN.findall(E.LOREM.lower()) if len(w) >= FILLER_STEM)
         self.bent = _Memory(lambda t: int(t[:FILLER_STEM] in lorem))
         self.known, self.all = _Memory(lambda t: self.weight.get(t, 0.0)), _Memory(lambda t: self.weight.get(t, self.other))
@@ -143,12 +151,12 @@ class Index:
             known = self.slots.get(shape)
             if known is None:
                 continue
+            if shape in ("<w>", "&lt;w&gt;") and re.split(r"[\s/]", written, maxsplit=1)[0].lower() in TAGS:
+                continue
             if shape not in WEAK:
                 if len(written) > 2 or shape[0] in "{<[":
                     return True
                 continue
-            if shape == "<w>" and written.lower() in TAGS:
-                continue
             total = sum(map(self.all.__getitem__, inside))
             if inside and sum(self.weight.get(t, self.other) for t in inside if t in known) >= CONTAINED * total:
                 return True
@@ -193,9 +201,10 @@ class Index:
         label, n, held = self.glance(window)
         return label or self.judge(held), n
 
-    def _unset(self, window: str) -> bool:
-        """A value that was printed for want of another: it is all that stands behind a field's name."""
-        return window.rpartition(":")[2].strip(" .") in self.unset
+    @staticmethod
+    def _unset(window: str) -> bool:
+        """A value that was printed for want of another, where a value stands."""
+        return _MAY_UNSET.search(window) is not None and _UNSET.search(window) is not None
 
 
 def exemplar_sets() -> list[tuple[str, frozenset[str]]]:
