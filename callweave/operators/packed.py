@@ -1,14 +1,19 @@
 """Several values packed in one field: split into one value per row by minimum description length.
 
 A field is an entry of an array column. Each entry is parsed under every dialect (delimiter, quoting) whose marks
-it holds, and under the dialect that mixes all delimiters. Every parse is scored by the bits that a code fitted to
-the whole corpus needs for its values; the cheapest parse wins, ties go to the parse with more values.
-
-Value codes. One pass over all entries counts the values of each entry's finest parse. The counts live in a
-count-min table of ``ROWS`` rows of ``2 ** code_bits`` hash slots, so what is sent to the executors has a fixed size
-(one byte a slot) however large the corpus is; every worker adds up its own table, the tables are added in Spark.
-A known value costs ``-log2(count / total)`` bits; an unknown one an escape and its characters, delimiters and
-quotes being dear, since they are rare inside a value. Only values that share a slot in every row share a code.
+it holds, under the dialect that mixes all delimiters and under the one that splits nowhere. Every parse is scored by
+the bits that a code fitted to the whole corpus needs for it: its dialect, and its values. The cheapest parse
+wins, ties go to the parse with more values. No mark, dialect or kind of value has a charge of its own.
+
+Codes. A value that the corpus has twice or more costs ``-log2(count / all)`` bits; any other an escape (its
+share is that of the values met once) and its characters, each by its own share among all characters of values, so
+that a delimiter is dear exactly where values seldom hold it. They are first fitted to the entries that
+have one parse only; then, ``rounds`` times, the other entries are parsed (each distinct one once) and all codes fitted
+again to what was chosen. Value counts are added up in Spark and sent to executors as a table of ``ROWS`` rows of hash
+slots: two slots a row for each distinct value, at most ``2 ** MOST_BITS``, four bytes a slot. A slot holds the code and 24
+bits of the hash of the commonest of its values, so an unknown value is taken for a known one once in ten million
+times; a rare value whose slots are all held by commoner ones counts as new (one in 40 while the table grows, up to two
+million distinct values; at four million one in six, so that there the rarest values cost their escape).
 
 Cases: a null array, a null or blank entry gives no row; a repeated value is kept; ``pos`` counts from 0 through
 the whole array; extra columns of the input are ignored.
@@ -16,15 +21,21 @@ the whole array; extra columns of the input are ignored.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callweave.session import settle
+
 # The delimiters, the pairs of quotes, and the labels put before a line of keywords.
 DELIMITERS = (",", ";", "；", "，", "、", "|", "·", "•", "\n", "\t", " / ", " : ")
 QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "«": "»", "„": "“"}
@@ -46,9 +57,11 @@ _ALL = re.compile("[" + re.escape(_SINGLE) + r"]|(?:(?<=\s)|^)/|/(?=\s|$)|(?<=\s
 #: Delimiters inside what is protected move to this private block while a line is cut.
 _HIDE = {ord(c): 0xF0000 + i for i, c in enumerate(_SINGLE + "/:")}
 _SHOW = {v: k for k, v in _HIDE.items()}
-#: Rows of the count-min table; entries that a worker remembers.
-ROWS, CACHED = 4, 200_000
-_ESCAPE_BITS, _LETTER_BITS, _MARK_BITS, _DIALECT_BITS = 6.0, 4.5, 14.0, 2.0
+#: Rows of the count table and bits of its longest row; entries that a worker remembers.
+ROWS, MOST_BITS, CACHED = 4, 22, 200_000
+#: Characters that are taken to occur once before any is counted.
+ALPHABET = 128
+MIXED, WHOLE, LISTED = "mixed", "whole", "listed"
 
 
 def _quoted(delimiter: str | None) -> re.Pattern:
@@ -129,76 +142,239 @@ def _begin(entry: str) -> tuple[str | None, tuple[str, ...]]:
     return text if found else None, found
 
 
-def parses(entry: str) -> list[tuple[str, ...]]:
-    """The distinct parses of an entry, the finest first."""
+def parses(entry: str) -> dict[tuple[str, ...], str]:
+    """The distinct parses of an entry, the finest first, each with the simplest dialect that gives it."""
     text, best = _begin(entry)
     if text is None:
-        return [best] if best else []
-    found = {best: None}
+        return {best: LISTED if len(best) > 1 else WHOLE} if best else {}
     held = [d for d in DELIMITERS if d.strip(" ") in text]
-    single = [d for d in held if d not in "\n\t"] if len(held) > 1 else ()  # with one delimiter the finest parse is its own
+    single = [d for d in held if d not in "\n\t"]
+    found = {best: single[0] if len(single) == 1 else MIXED}
     quoting = (True, False) if any(q in text for q in QUOTES) and parse(text, None, False, mixed=True) != best else (True,)
     for q in quoting:
-        for d in (None, *single):
-            found[parse(text, d, q)] = None
+        tail = "" if q else " unquoted"
+        for d in (None, *(single if len(single) > 1 else ())):  # with one delimiter the finest parse is its own
+            own = parse(text, d, q)
+            if own and found.get(own, MIXED) == MIXED:
+                found[own] = (d or WHOLE) + tail
         if not q:
-            found[parse(text, None, False, mixed=True)] = None
-    return [p for p in found if p]
+            found.setdefault(parse(text, None, False, mixed=True), MIXED + tail)
+    return {p: d for p, d in found.items() if p}
+
+
+def _hash(value: str) -> int:
+    """A signed hash of a value, case aside."""
+    return xxhash.xxh3_64_intdigest(value.lower()) - (1 << 63)
+
+
+def _slots(h: int, bits: int) -> list[int]:
+    """The slot of a value's hash in each row, counted through all rows."""
+    h += 1 << 63
+    step, mask = (h >> 32) | 1, (1 << bits) - 1
+    return [(r << bits) + (((h + r * step) >> 3) & mask) for r in range(ROWS)]
+
+
+@dataclass
+class Codes:
+    """Code lengths in bits. ``table`` has those of values in quarter bits and part of their hash by slot, 0 where no value is known."""
+
+    bits: int = 4
+    table: bytes = b""
+    escape: float = 1.0
+    letters: dict[str, float] = field(default_factory=dict)
+    rare_letter: float = 8.0
+    stop: float = 3.0
+    dialects: dict[str, float] = field(default_factory=dict)
+    rare_dialect: float = 4.0
+
+
+class Scorer:
+    """The bits of values and parses under given codes, with a worker's memory."""
+
+    def __init__(self, codes: Codes):
+        self.codes, self.table = codes, np.frombuffer(codes.table or bytes(4 * ROWS << codes.bits), np.uint32)
+        self.known: dict[str, float] = {}
+
+    def value(self, value: str) -> float:
+        if (own := self.known.get(value)) is None:
+            if len(self.known) > CACHED:
+                self.known.clear()
+            own = self.known[value] = self._value(value)
+        return own
+
+    def _value(self, value: str) -> float:
+        codes = self.codes
+        letter, rare = codes.letters.get, codes.rare_letter
+        spelled = codes.escape + codes.stop + sum([letter(c, rare) for c in value.lower()])
+        h = _hash(value)
+        for s in _slots(h, codes.bits):
+            held = int(self.table[s])
+            if held and held & _PART == h & _PART:
+                return min(spelled, (held >> 24) / 4)
+        return spelled
+
+    def cheapest(self, options: dict[tuple[str, ...], str]) -> tuple[str, ...]:
+        """The parse with the shortest description; of equally short ones the finest. One more bit a value tells that it goes on."""
+        if len(options) < 2:
+            return next(iter(options), ())
+        dialect, rare = self.codes.dialects.get, self.codes.rare_dialect
+        return min(options, key=lambda p: (round(dialect(options[p], rare) + sum(map(self.value, p)) + len(p), 3), -len(p), p))
+
+
+_PART = (1 << 24) - 1
+_COUNTS = "kind string, key long, n long, entry string"
+_COUNT_NAMES = ["kind", "key", "n", "entry"]
+
+
+class _Counts:
+    """What a worker counts: values by hash, characters of the distinct values, dialects; and the entries left open."""
+
+    def __init__(self) -> None:
+        self.values: Counter = Counter()
+        self.letters: Counter = Counter()
+        self.dialects: Counter = Counter()
+        self.met: dict[str, int] = {}
+        self.open: Counter = Counter()
+
+    def add(self, values: tuple[str, ...], dialect: str, n: int) -> None:
+        for v in values:
+            if (h := self.met.get(v)) is None:
+                h = self.met[v] = _hash(v)
+                self.letters.update(v.lower())
+                self.letters[""] += 1  # the end of a value
+            self.values[h] += n
+        self.dialects[dialect] += 1
+
+    def full(self) -> bool:
+        return len(self.values) + len(self.open) > 500_000
+
+    def rows(self) -> pa.RecordBatch:
+        keyed = [("value", k, n, None) for k, n in self.values.items()] + [("letter", ord(c) if c else -1, n, None) for c, n in self.letters.items()]
+        all_ = keyed + [("dialect", None, n, d) for d, n in self.dialects.items()] + [("open", None, n, e) for e, n in self.open.items()]
+        columns = list(zip(*all_, strict=True)) or [[], [], [], []]
+        self.__init__()
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _COUNT_NAMES)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the entries with one parse, and the others."""
+    counts = _Counts()
+    known: dict[str, tuple[tuple[str, ...], str] | None] = {}
+    for batch in batches:
+        found = pc.value_counts(batch.column(0).flatten())
+        for entry, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
+            if entry is None:
+                continue
+            if entry not in known:
+                if len(known) > CACHED:
+                    known.clear()
+                options = parses(entry)
+                known[entry] = next(iter(options.items()), ((), WHOLE)) if len(options) < 2 else None
+            if (own := known[entry]) is None:
+                counts.open[entry] += n
+            elif own[0]:
+                counts.add(*own, n)
+        if counts.full():
+            yield counts.rows()
+    yield counts.rows()
+
+
+def _chosen(codes: Codes):
+    """Counts of the cheapest parses of the rows (entry, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, scorer = _Counts(), Scorer(codes)
+        for batch in batches:
+            for entry, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                options = parses(entry)
+                own = scorer.cheapest(options)
+                counts.add(own, options[own], n)
+            if counts.full():
+                yield counts.rows()
+        yield counts.rows()
 
+    return run
 
-def _slots(value: str, bits: int) -> list[int]:
-    """The slot of ``value`` in each row, counted through all rows."""
-    mixed, mask = xxhash.xxh3_128_intdigest(value.lower()), (1 << bits) - 1
-    return [(r << bits) + ((mixed >> (32 * r)) & mask) for r in range(ROWS)]
 
+def _slot_table(values: DataFrame, total: int, distinct: int) -> tuple[int, bytes]:
+    """(bits, table) for the rows (key, n) of values met twice or more."""
+    bits = min(MOST_BITS, max(6, math.ceil(math.log2(2 * distinct + 1))))
+    block = min(bits, 12)
 
-def value_codes(df: DataFrame, column: str, code_bits: int = 20) -> bytes:
-    """Code lengths in quarter bits by hash slot (0: never seen)."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            held = np.clip(np.round(4 * np.log2(total / n)), 1, 255).astype(np.int64) << 24 | keys & _PART
+            slots = np.array([_slots(k, bits) for k in keys.tolist()], np.int64).reshape(-1)
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(np.repeat(held, ROWS))], ["slot", "held"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = np.zeros(ROWS << code_bits, np.int64)
-        known: dict[str, list[int]] = {}
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
         for batch in batches:
-            held: list[int] = []
+            slots, held = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.uint32)
+            for b in np.unique(slots >> block).tolist():
+                here = slots >> block == b
+                blocks.setdefault(b, np.zeros(1 << block, np.uint32))[slots[here] & ((1 << block) - 1)] = held[here]
+        yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()), pa.array([v.tobytes() for v in blocks.values()], pa.binary())], ["block", "held"])
+
+    least = values.select("key", "n").mapInArrow(spread, "slot long, held long").groupBy("slot").agg(F.min("held").alias("held"))  # the commonest value
+    found = least.repartition(8, F.shiftright("slot", block)).mapInArrow(pack, "block long, held binary").toArrow()  # four bytes a slot
+    table = bytearray(4 * ROWS << bits)
+    for b, held in zip(found["block"].to_pylist(), found["held"].to_pylist(), strict=True):
+        table[b << block + 2 : (b + 1) << block + 2] = held
+    return bits, bytes(table)
+
+
+def _fit(counts: DataFrame) -> Codes:
+    """Codes for what was counted."""
+    held = settle(counts.where("kind <> 'open'").groupBy("kind", "key", "entry").agg(F.sum("n").alias("n")))
+    values = held.where("kind = 'value'")
+    total, known, once = values.agg(F.sum("n"), F.count_if(F.col("n") > 1), F.count_if(F.col("n") == 1)).first()
+    small = held.where("kind <> 'value'").collect()  # a row a character of the alphabet and a dialect
+    if not total:
+        return Codes()
+    letters = {chr(r["key"]) if r["key"] >= 0 else "": r["n"] for r in small if r["kind"] == "letter"}
+    dialects = {r["entry"]: r["n"] for r in small if r["kind"] == "dialect"}
+    bits, table = _slot_table(values.where("n > 1"), total, known) if known else (4, b"")
+    share = lambda found, prior: {k: math.log2((sum(found.values()) + prior) / (n + 1)) for k, n in found.items()}
+    rare = lambda found, prior: math.log2(sum(found.values()) + prior)
+    code = share(letters, ALPHABET)
+    return Codes(bits, table, math.log2((total + 1) / (once + 1)), code, rare(letters, ALPHABET), code.get("", 0.0), share(dialects, len(DELIMITERS)), rare(dialects, len(DELIMITERS)))
+
+
+def fitted_codes(df: DataFrame, column: str, rounds: int = 2) -> tuple[Codes, DataFrame]:
+    """The codes of ``column`` (array of strings), and the distinct entries that have several parses."""
+    gathered = settle(df.select(column).where(F.col(column).isNotNull()).mapInArrow(_gather, _COUNTS))
+    open_ = settle(gathered.where("kind = 'open'").groupBy("entry").agg(F.sum("n").alias("n")))
+    codes = _fit(gathered)
+    for _ in range(rounds):
+        codes = _fit(gathered.unionByName(open_.mapInArrow(_chosen(codes), _COUNTS)))
+    return codes, open_
+
+
+def dialect_wins(df: DataFrame, column: str, rounds: int = 2) -> DataFrame:
+    """For each dialect how many distinct entries with several parses it wins, and in how many it beats the finest parse."""
+    codes, open_ = fitted_codes(df, column, rounds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(codes)
+        for batch in batches:
+            rows = []
             for entry in batch.column(0).to_pylist():
-                if (own := known.get(entry)) is None:
-                    if len(known) > CACHED:
-                        known.clear()
-                    own = known[entry] = [s for v in finest(entry) for s in _slots(v, code_bits)]
-                held += own
-            np.add.at(slots, held, 1)
-        used = np.flatnonzero(slots)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(slots[used], pa.int64())], ["slot", "n"])
-
-    entries = df.select(F.explode(column).alias("entry")).where(F.col("entry").isNotNull())
-    found = entries.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    slots, n = found["slot"].to_numpy(), found["n"].to_numpy()
-    total = int(n.sum()) // ROWS
-    codes = np.zeros(ROWS << code_bits, np.uint8)
-    if total:
-        codes[slots] = np.clip(np.round(4 * np.log2(total / n)), 1, 255)
-    return codes.tobytes()
-
-
-def _bits(value: str, codes: np.ndarray, code_bits: int) -> float:
-    marks = len(_MARKS.findall(value))
-    spelled = _ESCAPE_BITS + _LETTER_BITS * (len(value) - marks + 1) + _MARK_BITS * marks
-    own = [codes[s] for s in _slots(value, code_bits)]
-    return min(spelled, max(own) / 4) if min(own) else spelled
-
-
-def cheapest(options: list[tuple[str, ...]], codes: np.ndarray, code_bits: int) -> tuple[str, ...]:
-    """The parse with the shortest description; of equally short ones the finest."""
-    if len(options) < 2:
-        return options[0] if options else ()
-    return min(options, key=lambda p: (round(sum(_bits(v, codes, code_bits) for v in p) + _DIALECT_BITS * len(p), 3), -len(p), p))
+                options = parses(entry)
+                own = scorer.cheapest(options)
+                rows.append((options[own], int(own != next(iter(options)))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["dialect", "coarser"])
+
+    return open_.mapInArrow(run, "dialect string, coarser long").groupBy("dialect").agg(F.count("*").alias("entries"), F.sum("coarser").alias("coarser"))
 
 
 class Splitter:
     """Values of entries by their cheapest parse; a worker's memory of the entries it has met."""
 
-    def __init__(self, codes: bytes, code_bits: int):
-        self.codes, self.code_bits = np.frombuffer(codes, np.uint8), code_bits
+    def __init__(self, codes: Codes):
+        self.scorer = Scorer(codes)
         self.known: dict[str, tuple[str, ...]] = {}
 
     def __call__(self, entries: list[str | None] | None) -> list[str]:
@@ -210,25 +386,25 @@ class Splitter:
             if (own := known.get(entry)) is None:
                 if len(known) > CACHED:
                     known.clear()
-                own = known[entry] = cheapest(parses(entry), self.codes, self.code_bits)
+                own = known[entry] = self.scorer.cheapest(parses(entry))
             out += own
         return out
 
 
-def shared_codes(df: DataFrame, column: str, code_bits: int = 20):
-    """A broadcast of the value codes of ``column``: ROWS * 2 ** code_bits bytes."""
-    return df.sparkSession.sparkContext.broadcast(value_codes(df, column, code_bits))
+def shared_codes(df: DataFrame, column: str, rounds: int = 2):
+    """A broadcast of the codes of ``column``: at most 4 * ROWS * 2 ** MOST_BITS bytes and a code a character of the alphabet."""
+    return df.sparkSession.sparkContext.broadcast(fitted_codes(df, column, rounds)[0])
 
 
-def unpack(df: DataFrame, id_column: str, column: str, code_bits: int = 20) -> DataFrame:
+def unpack(df: DataFrame, id_column: str, column: str, rounds: int = 2) -> DataFrame:
     """One row for each value of ``column`` (array of strings): ``id_column``, ``pos`` int, ``keyword``.
 
-    Two passes over the column, no shuffle but that of the slot counts.
+    Two passes over the column, and ``rounds`` over the distinct entries that have several parses; rows are not shuffled.
     """
-    shared = shared_codes(df, column, code_bits)
+    shared = shared_codes(df, column, rounds)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values_of = Splitter(shared.value, code_bits)
+        values_of = Splitter(shared.value)
         for batch in batches:
             rows, places, values = [], [], []
             for row, entries in enumerate(batch.column(1).to_pylist()):

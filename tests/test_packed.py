@@ -1,7 +1,9 @@
-import numpy as np
+import math
+
 import pytest
 
-from callweave.operators.packed import ROWS, cheapest, finest, parses, unpack
+from callweave.operators import packed as K
+from callweave.operators.packed import Codes, Scorer, finest, parses, unpack
 
 SCHEMA = "record_id long, kws array<string>, pos string, keyword string, entry string"
 
@@ -14,8 +16,7 @@ SCHEMA = "record_id long, kws array<string>, pos string, keyword string, entry s
 ])
 def test_finest_parse(entry, values):
     assert finest(entry) == values
-    codes = np.zeros(ROWS << 8, np.uint8)
-    assert cheapest(parses(entry), codes, 8) == values
+    assert Scorer(Codes()).cheapest(parses(entry)) == values
 
 
 def test_rows_with_positions_and_edge_cases(spark):
@@ -33,3 +34,35 @@ def test_known_values_beat_a_finer_parse(spark):
     rows = [(i, ["alpha", "beta", "gamma; delta"], "", "", "") for i in range(50)] + [(99, ["alpha; beta"], "", "", "")]
     out = unpack(spark.createDataFrame(rows, SCHEMA), "record_id", "kws").where("record_id = 99").collect()
     assert [(r["pos"], r["keyword"]) for r in out] == [(0, "alpha"), (1, "beta")]
+
+
+def test_the_finest_parse_loses_where_the_corpus_knows_coarser_values(spark):
+    """Names with commas are values of their own here: the line of names is cut at semicolons only, other lines at commas."""
+    names = ["Doe, Jane", "Roe, Kim", "Poe, Lee", "Moe, Max"]
+    rows = [(i, [f'"{names[i % 4]}"', "touch", "sleep"], "", "", "") for i in range(80)]
+    rows += [(100, ["Doe, Jane; Roe, Kim; Poe, Lee"], "", "", ""), (101, ["touch, sleep"], "", "", ""), (102, ["Moe, Max"], "", "", "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = unpack(df, "record_id", "kws").where("record_id >= 100").orderBy("record_id", "pos").collect()
+    assert [(r["record_id"], r["keyword"]) for r in out] == [(100, "Doe, Jane"), (100, "Roe, Kim"), (100, "Poe, Lee"), (101, "touch"), (101, "sleep"), (102, "Moe, Max")]
+    assert finest("Doe, Jane; Roe, Kim") == ("Doe", "Jane", "Roe", "Kim")
+    wins = {r["dialect"]: (r["entries"], r["coarser"]) for r in K.dialect_wins(df, "kws").collect()}
+    assert wins == {";": (1, 1), ",": (5, 0), "whole": (1, 1)}  # the quoted names are open, too
+
+
+def test_codes_follow_counts_exactly_and_unknown_values_are_spelled(spark):
+    rows = [(i, [f"v{i % 7}", "w"], "", "", "") for i in range(70)] + [(99, ["once"], "", "", "")]
+    codes, open_ = K.fitted_codes(spark.createDataFrame(rows, SCHEMA), "kws")
+    assert open_.count() == 0
+    scorer = Scorer(codes)
+    assert scorer.value("w") == round(4 * math.log2(141 / 70)) / 4
+    assert all(scorer.value(f"v{i}") == round(4 * math.log2(141 / 10)) / 4 for i in range(7))
+    spelled = codes.escape + codes.stop + sum(codes.letters[c] for c in "once")
+    assert scorer.value("once") == spelled
+
+
+def test_worker_limits_change_nothing(spark, monkeypatch):
+    """Few remembered entries and many small slices give the same rows."""
+    rows = [(i, [f"a{i % 5}, b{i % 3}; c", '"x, y"', "x, y" if i % 9 == 0 else None], "", "", "") for i in range(90)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, unpack(df, "record_id", "kws").collect()))
+    assert sorted(map(tuple, unpack(df.repartition(7), "record_id", "kws").collect())) == want
