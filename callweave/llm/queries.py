@@ -47,10 +47,10 @@ def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every keyword in lower case with its occurrences, its records and its mark."""
     records = load(spark, sf_dir, "raw_records")
-    codes, bits = shared_codes(records, "publisher_keywords"), 20
+    codes = shared_codes(records, "publisher_keywords")
 
     def reader():
-        split = Splitter(codes.value, bits)
+        split = Splitter(codes.value)
         return lambda entries: [k.lower() for k in split(entries)]
 
     return term_frequencies(records, "publisher_keywords", reader)
