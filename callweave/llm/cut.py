@@ -1,26 +1,28 @@
 """Texts cut off by field limits or broken transfers, found by a vocabulary trie, length and context.
 
-A text that ends as a sentence does is whole. A text that ends in a mark of omission or a broken character is cut.
-What ends otherwise may be a headline, a date line or an address, and is asked about:
+A text that ends as a sentence does is whole. What ends otherwise may be cut, or be a headline, a date line or an
+address. Evidence is gathered for each such text, and any of it, in this order, says that it was cut (``why``):
 
-* the trie. Words inside texts and titles make the vocabulary, and all their prefixes the nodes of its trie, kept as
+* ``trie``. Words inside texts and titles make the vocabulary, and all their prefixes the nodes of its trie, kept as
   a table (node, is a word, goes on), so the trie is as distributed as the corpus. A last word that is no word of the
   vocabulary but a node that goes on was cut inside.
-* length. Lengths at which a source's unended texts pile up, in characters or bytes, are its field limits; an unended
+* ``length``. Lengths at which a source's unended texts pile up, in characters or bytes, are its field limits; an unended
   text of that length was cut.
-* context. Of the last words (8, 5, 3, 2, 1) the longest run that is common enough is taken; where the corpus goes
-  on after it more often than different texts end with it, the text was cut. Where a run of two or three, its last
-  word taken as the beginning of a longer one, is more often gone on with than met whole, the text was cut inside
-  the word even though what is left is a word too. Digits count by number only, months alike; text means summaries here,
-  since titles are edited at their ends.
-* address. A text that ends with a web or mail address is whole, unless it has a limit's length or the address begins
-  a longer one.
-* titles. A text that equals the record's own title is whole, and so is one whose last three words or more end some
-  title and are never gone on with inside a text.
+* ``address``. A web or mail address at the end that begins a longer one was cut. A text that ends with any other address is
+  whole, unless it has a limit's length.
+* ``begun``. A run of two or three last words whose last word, taken as the beginning of a longer one, is more often gone
+  on with than met whole: the text was cut inside a word though what is left is a word too.
+* ``mark``. A mark of omission, a broken character or entity, an open bracket, or a mark after which no sentence ends.
+* ``context``. Of the last words (8, 5, 3, 2, 1) the longest run that is common enough is taken; where the corpus goes
+  on after it more often than different texts end with it, the text was cut.
+
+Digits count by number only, months alike; text means summaries here, since titles are edited at their ends. A text that
+equals the record's own title is whole, and so is one whose last three words or more end some title and are never
+gone on with inside a text. What has a mark is looked up in the trie and the limits without it.
 
 The corpus is read twice: for the ends, and for what follows them. The second pass counts only runs that pass a
-Bloom filter of the ends, whose size is fixed (``2 ** BLOOM_BITS`` bits), so what is sent to executors has a bound;
-counts are exact whatever passes the filter.
+Bloom filter of the ends. It has sixteen bits for each of them, at most ``2 ** MOST_BITS`` (32 MB, enough for 16 million
+different ends; with four times as many one run in seven passes that need not). Counts are exact whatever passes.
 
 Null, empty and blank texts are no records here. Look-alike characters, widths and invisible characters are undone
 before anything is compared. Texts are read whole.
@@ -42,7 +44,7 @@ from callweave.llm.canon import clean
 from callweave.session import settle
 
 RUNS = (1, 2, 3, 5, 8)
-BLOOM_BITS = 24
+LEAST_BITS, MOST_BITS = 12, 28
 #: A run counts as common from this many ends and continuations.
 COMMON = 4
 
@@ -52,6 +54,8 @@ OMITTED = re.compile(
     r"|\s+\[?\(?(?:read\s+more|more|cont(?:inued|\.))\)?\]?(?:\s*(?:»|>+|→))?|\s*\((?:more|read\s+more|cont(?:inued|\.))\)|�+)\s*$",
     re.I,
 )
+#: Texts without these have no mark of omission.
+_MAY_OMIT = re.compile(r"\.\.\.|…|�|more|cont", re.I)
 _BARE_MORE = re.compile(r"(?:^|[\s(\[])more$", re.I)
 ABBREVIATIONS = re.compile(r"(?:^|[\s(\[])(?:e\.\s?g|i\.\s?e|vs|approx|cf|z\.\s?B|d\.\s?h|bzw|ca|p\.\s?ex|resp|incl|esp)\.$", re.I)
 _MORE = re.compile(r"(?:\.\.\.|\]|\))\s*(?:read\s+)?more|\((?:read\s+)?more|read\s+more$", re.I)
@@ -72,7 +76,7 @@ class _Forms(dict):
     def __missing__(self, t: str) -> str:
         if len(self) > 500_000:
             self.clear()
-        form = self[t] = "0" * min(len(t), 6) if t.isdigit() else "May" if t in _MONTHS else t
+        form = self[t] = "0" * len(t) if t.isdigit() else "May" if t in _MONTHS else t
         return form
 
 
@@ -137,15 +141,30 @@ def begun_hashes(begun: np.ndarray, before: np.ndarray, before2: np.ndarray) ->
     return {2: _seal(h, 2), 3: _seal(_mix(h, before2, 3), 3)}
 
 
+def without_mark(text: str) -> str:
+    """A text without a mark of omission at its end."""
+    return OMITTED.sub("", text) if _MAY_OMIT.search(text) else text
+
+
+def last_tokens(text: str) -> list[str]:
+    """The last tokens of a text, as many as the longest run has: the text is tokenized from a blank on behind which there are enough."""
+    size = 256
+    while True:
+        at = text.rfind(" ", 0, max(0, len(text) - size)) + 1
+        found = tokens(text[at:])
+        if not at or len(found) >= max(RUNS):
+            return found[-max(RUNS) :]
+        size *= 4
+
+
 def _verdict(text: str) -> str:
     """'cut', 'whole' or 'ask', by what stands at the end."""
     if text[-1] not in ".!?。" or text[-3:] == "...":
-        tail = text[-80:]
-        if OMITTED.search(tail) and not (_BARE_MORE.search(tail) and not _MORE.search(tail)):
+        if _MAY_OMIT.search(text) and OMITTED.search(text) and not (_BARE_MORE.search(text) and not _MORE.search(text)):
             return "cut"
-        if not _ENDED.search(tail):
-            return "cut" if _OPEN_END.search(tail) or re.search(r"&#?\w{1,7}$", tail) else "ask"
-    if text[-1] == "." and ABBREVIATIONS.search(text[-12:]):
+        if not _ENDED.search(text):
+            return "cut" if _OPEN_END.search(text[-1]) or (at := text.rfind("&")) >= 0 and re.fullmatch(r"&#?\w{1,7}", text[at:]) else "ask"
+    if text[-1] == "." and ABBREVIATIONS.search(text, max(0, len(text) - 12)):  # the longest has eight characters
         return "cut"
     if text[-1] not in ")]" and (at := text.rfind("(")) >= 0:
         return "cut" if at > text.rfind(")") and not _NEXT.search(text, at) else "whole"
@@ -153,7 +172,7 @@ def _verdict(text: str) -> str:
 
 
 def ends(df: DataFrame, id_column: str, source: str, text: str, title: str) -> DataFrame:
-    """A row for each non-blank text: its verdict, and for those asked about their last words, lengths and title."""
+    """A row for each non-blank text: its verdict, and for those not whole the last word and lengths, for those asked about the last runs."""
     kind = df.schema[id_column].dataType.simpleString()
     names = [id_column, "source", "verdict", "digest", "chars", "bytes", "word", "address", "runs"]
     schema = f"`{id_column}` {kind}, source string, verdict string, digest long, chars int, bytes int, word string, address boolean, runs array<long>"
@@ -169,17 +188,21 @@ def ends(df: DataFrame, id_column: str, source: str, text: str, title: str) -> D
                     head = clean(head)
                     if own == head or own == head.rstrip(" .!?-–"):
                         verdict = "whole"
+                said = own
                 if verdict == "ask":
-                    last = tokens(own[own.rfind(" ", 0, max(0, len(own) - 400)) + 1 :])[-max(RUNS) :] or ["�"]
+                    last = last_tokens(own) or ["�"]
                     word = last[-1]
                     hashes = last_runs(last)
+                elif verdict == "cut":
+                    said = without_mark(own)
+                    word = next((t for t in reversed(last_tokens(said)) if t[0].isalnum()), None)
                 rows.append(row)
                 verdicts.append(verdict)
                 digests.append(xxhash.xxh3_64_intdigest(own) - (1 << 63))
-                chars.append(len(own))
-                sizes.append(len(own.encode("utf-8", "replace")))
+                chars.append(len(said))
+                sizes.append(len(said.encode("utf-8", "replace")))
                 words.append(word)
-                addresses.append(word is not None and bool(_ADDRESS.search(own)))
+                addresses.append(verdict == "ask" and bool(_ADDRESS.search(own)))
                 runs.append(hashes)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -191,18 +214,33 @@ def ends(df: DataFrame, id_column: str, source: str, text: str, title: str) -> D
 
 
 def bloom(hashes: DataFrame) -> bytes:
-    """A filter of 2 ** BLOOM_BITS bits over the column ``h``; two bits a hash."""
-    words = hashes.select(F.explode(F.array(F.col("h").bitwiseAND((1 << BLOOM_BITS) - 1), F.shiftrightunsigned("h", 40).bitwiseAND((1 << BLOOM_BITS) - 1))).alias("bit"))
-    found = words.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).toArrow()
-    out = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint64).astype(np.uint32)
-    return out.tobytes()
+    """A filter over the column ``h``: two bits a hash, sixteen bits for each different hash, at most 2 ** MOST_BITS."""
+    n = hashes.agg(F.approx_count_distinct("h")).first()[0]  # decides the size only
+    bits = max(LEAST_BITS, min(MOST_BITS, int(16 * n).bit_length()))
+    block = min(bits - 5, 14)
+    places = hashes.select(F.explode(F.array(F.col("h").bitwiseAND((1 << bits) - 1), F.shiftrightunsigned("h", 64 - bits))).alias("bit"))
+    words = places.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at, value = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.uint64).astype(np.uint32)
+            for b in np.unique(at >> block).tolist():
+                here = at >> block == b
+                held.setdefault(b, np.zeros(1 << block, np.uint32))[at[here] & ((1 << block) - 1)] = value[here]
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([v.tobytes() for v in held.values()], pa.binary())], ["block", "held"])
+
+    found = words.repartition(8, F.shiftright("word", block)).mapInArrow(pack, "block long, held binary").toArrow()  # 2 ** bits bits
+    out = bytearray(1 << (bits - 3))
+    for b, held in zip(found["block"].to_pylist(), found["held"].to_pylist(), strict=True):
+        out[b << block + 2 : (b + 1) << block + 2] = held
+    return bytes(out)
 
 
 def _passes(filter_: np.ndarray, h: np.ndarray) -> np.ndarray:
-    mask = np.uint64((1 << BLOOM_BITS) - 1)
+    bits = 4 + len(filter_).bit_length()  # a power of two words of 32 bits
     hit = np.ones(len(h), bool)
-    for bit in (h & mask, (h >> np.uint64(40)) & mask):
+    for bit in (h & np.uint64((1 << bits) - 1), h >> np.uint64(64 - bits)):
         hit &= (filter_[(bit >> np.uint64(5)).astype(np.int64)] >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
     return hit
 
@@ -259,7 +297,7 @@ def what_follows(df: DataFrame, text: str, title: str, filter_: bytes) -> DataFr
 
         def read(value: str) -> list[str]:
             value = value if value.isascii() else clean(value)
-            return tokens(value[:-80] + OMITTED.sub("", value[-80:]) if value[-1:] not in ".?!。" or value[-3:] == "..." else value)
+            return tokens(without_mark(value) if value[-1:] not in ".?!。" or value[-3:] == "..." else value)
 
         for batch in batches:
             step = max(1, min(4096, int(4e6 // (batch.nbytes / max(1, batch.num_rows) + 1))))  # about 4 MB of text
@@ -309,10 +347,10 @@ def what_follows(df: DataFrame, text: str, title: str, filter_: bytes) -> DataFr
     return df.select(text, title).mapInArrow(run, "word string, h long, n long, whole long, begun long")
 
 
-def trie(words: DataFrame) -> DataFrame:
-    """The trie of the column ``word`` as a table: node, is_word, goes_on."""
-    nodes = words.select(F.explode(F.expr("transform(sequence(1, length(word)), i -> struct(substring(word, 1, i) as node, i = length(word) as is_word))")).alias("x"))
-    return nodes.groupBy("x.node").agg(F.max("x.is_word").alias("is_word"), F.max(~F.col("x.is_word")).alias("goes_on"))
+def trie(words: DataFrame, asked: DataFrame) -> DataFrame:
+    """The nodes of the trie of the column ``word`` that are asked for (column ``node``): node, is_word, goes_on."""
+    nodes = words.select(F.explode(F.expr("transform(sequence(1, length(word)), i -> struct(substring(word, 1, i) as node, i = length(word) as is_word))")).alias("x")).select("x.*")
+    return nodes.join(asked.distinct(), "node", "left_semi").groupBy("node").agg(F.max("is_word").alias("is_word"), F.max(~F.col("is_word")).alias("goes_on"))
 
 
 def limits(asked: DataFrame) -> DataFrame:
@@ -323,7 +361,11 @@ def limits(asked: DataFrame) -> DataFrame:
     that all end in a date may be equally long, too).
     """
     each = asked.select("source", "digest", F.coalesce(F.col("runs")[RUNS.index(3)], F.col("runs")[0]).alias("tail"), F.explode(F.create_map(F.lit("chars"), F.col("chars"), F.lit("bytes"), F.col("bytes"))).alias("measure", "size"))
-    sizes = each.groupBy("source", "measure", "size").agg(F.approx_count_distinct("digest", 0.01).alias("n"), F.approx_count_distinct("tail").alias("tails"))
+    # Exact counts: of different texts and of different last words, each by a distinct of its own kind.
+    place = ["source", "measure", "size"]
+    texts = each.select(*place, "digest").distinct().groupBy(*place).agg(F.count("*").alias("n"))
+    tails = each.select(*place, "tail").distinct().groupBy(*place).agg(F.count("tail").alias("tails"))
+    sizes = texts.join(tails, place)
     line = Window.partitionBy("source", "measure").orderBy("size")  # one row for each length that occurs
     near = line.rangeBetween(-12, 12)
     sizes = sizes.withColumns({
@@ -336,7 +378,7 @@ def limits(asked: DataFrame) -> DataFrame:
 
 
 def find_cut(df: DataFrame, id_column: str, source: str, text: str, title: str) -> DataFrame:
-    """A row for each non-blank text: ``id_column``, ``source``, ``is_cut``, ``why``."""
+    """A row for each non-blank text: ``id_column``, ``source``, ``is_cut``, ``why`` (the first evidence), ``evidence`` (all of it)."""
     found = settle(ends(df, id_column, source, text, title))
     asked = found.where("verdict = 'ask'")
     runs = asked.select(id_column, "digest", F.posexplode("runs").alias("k", "h")).where("h is not null")
@@ -355,28 +397,28 @@ def find_cut(df: DataFrame, id_column: str, source: str, text: str, title: str)
         )
         .select(id_column, F.col("c.on").alias("on"), F.col("c.off").alias("off"), F.coalesce(F.col("b.begun") > F.col("b.met"), F.lit(False)).alias("begun"), "titled")
     )
-    nodes = trie(follows.where("word is not null").select("word").union(asked.where("address").select("word")).distinct()).join(asked.select(F.col("word").alias("node")).distinct(), "node", "left_semi").withColumnRenamed("node", "word")
+    unended = found.where("verdict <> 'whole'")
+    nodes = trie(follows.where("word is not null").select("word").union(asked.where("address").select("word")).distinct(), unended.select(F.col("word").alias("node"))).withColumnRenamed("node", "word")
     most = limits(asked)
     at_limit = (
-        asked.select(id_column, "source", F.explode(F.create_map(F.lit("chars"), F.col("chars"), F.lit("bytes"), F.col("bytes"))).alias("measure", "size"))
+        unended.select(id_column, "source", F.explode(F.create_map(F.lit("chars"), F.col("chars"), F.lit("bytes"), F.col("bytes"))).alias("measure", "size"))
         .join(most, ["source", "measure"]).where("size between limit - 1 and limit").select(id_column, F.lit(True).alias("at_limit")).distinct()
     )
-    told = (
-        asked.select(id_column, "source", "word", "address").join(nodes, "word", "left").join(context, id_column, "left").join(at_limit, id_column, "left")
-        .select(
-            id_column, "source",
-            F.when(F.col("at_limit"), "length")
-            .when(F.col("address") & ~F.coalesce("goes_on", F.lit(False)), None)
-            .when(F.col("address"), "word")
-            .when(F.col("titled"), None)
-            .when(~F.coalesce("is_word", F.lit(False)) & F.coalesce("goes_on", F.lit(False)), "word")
-            .when(F.col("begun"), "word")
-            .when(~F.coalesce("is_word", F.lit(False)) & (F.coalesce("off", F.lit(0)) < COMMON), "unknown")
-            .when(F.col("on") > F.col("off"), "context").alias("why"),
-        )
-    )
-    clear = found.where("verdict <> 'ask'").select(id_column, "source", F.when(F.col("verdict") == "cut", "mark").alias("why"))
-    return clear.unionByName(told).select(id_column, "source", F.col("why").isNotNull().alias("is_cut"), "why")
+    told = unended.select(id_column, "source", "verdict", "word", "address").join(nodes, "word", "left").join(context, id_column, "left").join(at_limit, id_column, "left")
+    no = F.lit(False)
+    marked, address, titled, goes_on = F.col("verdict") == "cut", F.col("address"), F.coalesce("titled", no), F.coalesce("goes_on", no)
+    plain = marked | ~address & ~titled
+    evidence = {
+        "trie": plain & ~F.coalesce("is_word", no) & goes_on,
+        "length": F.coalesce("at_limit", no),
+        "address": address & goes_on,
+        "begun": plain & F.coalesce("begun", no),
+        "mark": marked,
+        "context": plain & F.coalesce(F.col("on") > F.col("off"), no),
+    }
+    told = told.select(id_column, "source", F.array_compact(F.array(*[F.when(v, k) for k, v in evidence.items()])).alias("evidence"))
+    whole = found.where("verdict = 'whole'").select(id_column, "source", F.array().cast("array<string>").alias("evidence"))
+    return whole.unionByName(told).select(id_column, "source", (F.size("evidence") > 0).alias("is_cut"), F.try_element_at("evidence", F.lit(1)).alias("why"), "evidence")
 
 
 def cut_rates(cut: DataFrame) -> DataFrame:
