@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from callweave.operators.snapshots import _hash, diff_snapshots, peel
+from callweave.operators.snapshots import Lookup, diff_snapshots, difference, digests
 
 SCHEMA = "source string, no int, url string, status string, deadline string, loaded_at int, key string, grp string"
 
@@ -69,23 +70,50 @@ def test_edges(spark):
     assert changes(spark, [("s", 1, "u" * 50_000, None, None, 1, "", ""), ("s", 2, "v", None, None, None, "", "")]) == {("s", 2, "u" * 50_000, "removed"), ("s", 2, "v", "added")}
 
 
-def test_hash_is_sparks(spark):
-    row = spark.range(1).select(F.xxhash64(F.lit(-5).cast("long"), F.lit(7).cast("long"), F.lit(99).cast("long")).alias("h")).first()
-    assert row["h"] == _hash(-5, 7, 99)
+def elements(n, seed, tables=3):
+    rng = np.random.default_rng(seed)
+    return rng.integers(0, tables, n), rng.choice([1, -1], n), rng.integers(0, 2**63, n).astype(np.uint64), rng.integers(0, 2**63, n).astype(np.uint64)
+
+
+def as_set(t, s, k, v):
+    return set(zip(t.tolist(), s.tolist(), k.tolist(), v.tolist(), strict=True))
 
 
 def test_peeling_is_a_round_trip():
-    rng, width = random.Random(3), 40
-    elements = {(rng.choice((1, -1)), rng.getrandbits(62), rng.getrandbits(62)) for _ in range(60)}
-    cells: dict[int, list[int]] = {}
-    for sign, hk, hv in elements:
-        for j in range(3):
-            c = cells.setdefault(j * width + _hash(hk, hv, j) % width, [0, 0, 0, 0])
-            c[0] += sign
-            c[1] ^= hk
-            c[2] ^= hv
-            c[3] ^= _hash(hk, hv, 99)
-    assert set(peel({k: list(v) for k, v in cells.items()}, width)) == elements
-    broken = {k: list(v) for k, v in cells.items()}
-    next(iter(broken.values()))[3] ^= 1
-    assert peel(broken, width) is None
+    own = elements(60, 3)
+    lookup = Lookup(3, 40)
+    lookup.add(*own)
+    assert as_set(*lookup.peel()) == as_set(*own) and lookup.empty().all()
+
+
+def test_a_full_table_is_stuck_and_then_enlarged_or_compared():
+    t, s, k, v = elements(400, 5, 2)
+    small = Lookup(2, 4)
+    small.add(t, s, k, v)
+    small.peel()
+    assert not small.empty().any()
+    want = set(zip(t.tolist(), k.tolist(), strict=True))
+    for cells, rounds, compared in ((12, 1, 2), (300, 3, 0)):
+        ft, fk, exact = difference(t, s, k, v, 2, cells, rounds)
+        assert set(zip(ft.tolist(), fk.tolist(), strict=True)) == want and exact == compared
+
+
+def test_the_digest_catches_what_empty_cells_hide(monkeypatch):
+    """An element lost from all its cells leaves a table that peels to nothing: only the digest of the rows tells."""
+    t, s, k, v = elements(30, 9, 1)
+    lookup = Lookup(1, 40)
+    lookup.add(t, s, k, v)
+    lookup.add(t[:1], -s[:1], k[:1], v[:1])
+    found = lookup.peel()
+    assert lookup.empty().all() and len(found[0]) == 29
+    assert (digests(*found, 1) != digests(t, s, k, v, 1)).all()
+
+    kept = Lookup.add
+    monkeypatch.setattr(Lookup, "add", lambda self, t, s, k, v: kept(self, t[1:], s[1:], k[1:], v[1:]) if len(t) and (s == 1).all() else kept(self, t, s, k, v))
+    ft, fk, exact = difference(t, s, k, v, 1, 384, 2)
+    assert exact == 1 and set(fk.tolist()) == set(k.tolist())  # every table failed its digest, the exact way gave all
+
+
+def test_a_key_repeated_very_often_and_a_hot_source(spark):
+    rows = [("hot", 1, "u", ["open", "closed"][i % 2], None, i, "", "") for i in range(3000)] + [("hot", 2, f"u{i % 900}", "open", None, i, "", "") for i in range(1800)]
+    assert changes(spark, rows, rows_per_bucket=64) == brute(rows)
