@@ -48,9 +48,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or, where that is unset and the master is local, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="callweave-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
