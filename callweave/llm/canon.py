@@ -3,10 +3,13 @@
 The keys of the tree are the names and aliases of the entries in a plain form (compatibility forms, case, accents of
 Latin letters, punctuation and a leading article do not count). A typed value gives one or more readings: the whole
 of it, and what is left without quotes, without a bracket or a descriptive tail at its end, without the name of a
-publisher before it, with an inverted heading turned round, and with abbreviated words written out where they fit
-one entry only. The tree returns every key within the threshold of each reading; the triangle inequality prunes. The
+publisher before it, and with an inverted heading turned round. The tree returns every key within the threshold of each reading; the triangle inequality prunes. The
 winner is the nearest key; if the nearest keys belong to different entries, the value means none of them.
 
+A second tree holds the initials of the keys' big words. A value whose words are cut short is looked up in it by its own
+initials, and of the keys that come back those fit in which every word begins as the value's does: an exact check of what
+the tree returned. They count after exact hits of the first tree and before hits with errors.
+
 A swap of neighbouring letters counts as one typing error, though it is two steps of the metric: the tree is asked
 for twice the errors allowed, and what it returns is counted exactly.
 
@@ -116,25 +119,27 @@ def allowed(n: int) -> int:
     return 0 if n < 5 else 1 if n < 10 else 2
 
 
-class Tree:
-    """A BK-tree of keys, each with the ids it stands for."""
+def big(key: str) -> list[str]:
+    """The words of a key that abbreviated titles keep."""
+    words = key.split(" ")
+    return [w for w in words if w not in SMALL_WORDS] or words
+
+
+def initials(key: str) -> str:
+    return "".join(w[0] for w in big(key))
+
 
-    def __init__(self, keys: list[tuple[str, int]]):
-        self.ids: dict[str, set[int]] = {}
+class Tree[T]:
+    """A BK-tree of keys, each with what it stands for."""
+
+    def __init__(self, keys: list[tuple[str, T]]):
+        self.ids: dict[str, set[T]] = {}
         for key, i in keys:
             if key:
                 self.ids.setdefault(key, set()).add(i)
         self.root: tuple[str, dict] | None = None
-        self.initials: dict[str, list[str]] = {}
         for key in sorted(self.ids):
             self._insert(key)
-            big = self.big(key)
-            self.initials.setdefault("".join(w[0] for w in big), []).append(key)
-
-    @staticmethod
-    def big(key: str) -> list[str]:
-        words = key.split(" ")
-        return [w for w in words if w not in SMALL_WORDS] or words
 
     def _insert(self, key: str) -> None:
         if self.root is None:
@@ -165,15 +170,12 @@ class Tree:
                         todo.append(child)
         return out
 
-    def written_out(self, key: str) -> list[str]:
-        """Keys of which ``key`` is an abbreviation: the same big words in order, each cut short or whole."""
-        big = self.big(key)
-        out = []
-        for full in self.initials.get("".join(w[0] for w in big), ()):
-            words = self.big(full)
-            if len(words) == len(big) and all(f.startswith(w) for f, w in zip(words, big, strict=True)):
-                out.append(full)
-        return out
+
+def written_out(tree: Tree[str], key: str) -> list[str]:
+    """Keys of which ``key`` is an abbreviation: the same big words in order, each cut short or whole. ``tree`` has the keys by their initials."""
+    words = big(key)
+    near = {full for _, found in tree.within(initials(key), 0) for full in tree.ids[found]}
+    return sorted(full for full in near if len(own := big(full)) == len(words) and all(f.startswith(w) for f, w in zip(own, words, strict=True)))
 
 
 def readings(value: str, publishers: Container[str]) -> list[str]:
@@ -220,6 +222,7 @@ class Matcher:
     def __init__(self, entries: list[dict], remembered: int = 200_000):
         keys = [(plain(t), e["id"]) for e in entries for t in [e["name"], *([] if e["aliases"] is None else e["aliases"])] if t]
         self.tree = Tree(keys)
+        self.by_initials = Tree([(initials(k), k) for k in self.tree.ids])
         self.publishers = frozenset(plain(e["publisher"]) for e in entries if e["publisher"])
         self.known: dict[str, tuple[int, list[int]]] = {}
         self.remembered = remembered
@@ -244,7 +247,7 @@ class Matcher:
             if hits := tree.within(key, 0):
                 return (0, at, 0), sorted(tree.ids[hits[0][1]])
         for at, key in enumerate(keys):
-            if full := {i for k in tree.written_out(key) for i in tree.ids[k]}:
+            if full := {i for k in written_out(self.by_initials, key) for i in tree.ids[k]}:
                 return (1, at, 0), sorted(full)
         found: dict[int, int] = {}
         for key in keys:
