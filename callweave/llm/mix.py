@@ -3,7 +3,8 @@
 The copies of a document are drawn at a rate; the rates of a source's documents are the ones nearest to one
 (in relative entropy) that give the source its target number of tokens and none more than ``max_repeats``. They are
 exponentially tilted by document size: rate = min(max_repeats, exp(dual * tokens / mean tokens)). The convex dual has one
-unknown a source and its Newton steps need two sums a source, so an iteration is one aggregation over the documents;
+unknown a source and its Newton steps need two sums a source; documents of one size have one rate, so they are counted
+by source and size once and an iteration is one aggregation over that table;
 steps that leave the known bracket are bisected. Rates are then rounded to copies so that the counts of every block
 of documents, and of all blocks before it, are right to within one copy (systematic rounding along a cumulative sum
 in blocks of bounded size, by document size, so that tokens are nearly right too).
@@ -59,10 +60,12 @@ def fill(weights: dict[str, float], most: dict[str, float], total: float) -> dic
     return out
 
 
-def solve_duals(sized: DataFrame, spark: SparkSession, wanted: dict[str, float], cap: dict[str, int], mean: dict[str, float], tolerance: float = 1e-6, rounds: int = 40) -> dict[str, float]:
+def solve_duals(sizes: DataFrame, spark: SparkSession, wanted: dict[str, float], cap: dict[str, int], mean: dict[str, float], tolerance: float = 1e-6, rounds: int = 40) -> dict[str, float]:
     """The dual of each source: Newton steps for the token constraint, safeguarded by bisection.
 
-    A source whose target is all it can give has the dual +inf.
+    ``sizes`` has a row for each source and document size (source, n_tokens, n), so a step reads a table as small as the
+    number of different sizes. A source whose target is all it can give has the dual +inf. A source that does not
+    come within ``tolerance`` of its target raises an error: no unfinished mixture is returned.
     """
     duals = {s: 0.0 for s in wanted}
     low, high = {s: -60.0 for s in wanted}, {s: 60.0 for s in wanted}
@@ -74,7 +77,7 @@ def solve_duals(sized: DataFrame, spark: SparkSession, wanted: dict[str, float],
         x = F.col("n_tokens") / F.col("mean")
         rate = F.least(F.col("cap"), F.exp(F.col("dual") * x))
         slope = F.when(F.exp(F.col("dual") * x) < F.col("cap"), rate * x * F.col("n_tokens")).otherwise(0.0)
-        sums = sized.join(table, "source").groupBy("source").agg(F.sum(rate * F.col("n_tokens")).alias("got"), F.sum(slope).alias("slope")).collect()  # a row a targeted source
+        sums = sizes.join(table, "source").groupBy("source").agg(F.sum(F.col("n") * rate * F.col("n_tokens")).alias("got"), F.sum(F.col("n") * slope).alias("slope")).collect()  # a row a targeted source
         for r in sums:
             s, gap = r["source"], r["got"] - wanted[r["source"]]
             if abs(gap) <= tolerance * max(1.0, wanted[s]):
@@ -86,6 +89,8 @@ def solve_duals(sized: DataFrame, spark: SparkSession, wanted: dict[str, float],
                 low[s] = max(low[s], duals[s])
             step = duals[s] - gap / r["slope"] if r["slope"] > 0 else math.inf
             duals[s] = step if low[s] < step < high[s] else (low[s] + high[s]) / 2
+    if open_:
+        raise ArithmeticError(f"no dual within {tolerance} of the target after {rounds} rounds: {', '.join(sorted(open_)[:10])}")
     return duals
 
 
@@ -101,14 +106,15 @@ def mixture(documents: DataFrame, targets: DataFrame, id_column: str = "doc_id",
     names = [r["source"] for r in asked]
     plain = spark.createDataFrame([(s,) for s in names], "source string")
     sized = sized.join(plain, "source", "left_semi").select(id_column, "source", "n_tokens")
-    have = {r["source"]: r for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n")).collect()}  # a row a targeted source
+    sizes = settle(sized.groupBy("source", "n_tokens").agg(F.count("*").alias("n")))
+    have = {r["source"]: r for r in sizes.groupBy("source").agg(F.sum(F.col("n") * F.col("n_tokens")).alias("tokens"), F.sum("n").alias("n")).collect()}  # a row a targeted source
     cap = {r["source"]: r["max_repeats"] for r in asked}
     weights = {r["source"]: r["weight"] for r in asked if r["weight"] is not None and r["weight"] > 0 and not math.isinf(r["weight"]) and r["source"] in have and cap[r["source"]] > 0}
     whole = sum(weights.values())
     most = {s: float(cap[s] * have[s]["tokens"]) for s in weights}
     wanted = fill(weights, most, float(total if total is not None else sum(have[s]["tokens"] for s in weights)))
     mean = {s: have[s]["tokens"] / have[s]["n"] for s in weights}
-    duals = solve_duals(sized, spark, {s: t for s, t in wanted.items() if t < most[s]}, cap, mean)
+    duals = solve_duals(sizes, spark, {s: t for s, t in wanted.items() if t < most[s]}, cap, mean)
     table = spark.createDataFrame(
         [(s, duals.get(s, math.inf), float(cap[s]), mean[s], -(-have[s]["n"] // block_rows)) for s in sorted(weights)],
         "source string, dual double, cap double, mean double, blocks long",
