@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,20 +18,20 @@ def stable_id(prefix: Column, key: Column) -> Column:
     return F.concat(head, F.lit("-"), F.substring(F.sha2(key, 256), 1, 10))
 
 
-def _printed(name: str, kinds: dict[str, str]) -> Column:
+def _printed(name: str, kinds: dict[str, str], get: Callable[[str], Column]) -> Column:
     if name not in kinds:
         return F.lit("")
     if kinds[name].startswith("array"):
-        return F.coalesce(F.array_join(F.col(name), ","), F.lit(""))
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+        return F.coalesce(F.array_join(get(name), ","), F.lit(""))
+    return F.coalesce(get(name).cast("string"), F.lit(""))
 
 
-def content_hash(kinds: dict[str, str]) -> Column:
+def content_hash(kinds: dict[str, str], get: Callable[[str], Column] = F.col) -> Column:
     """A hash of the content columns of a row; columns that are missing or null count as empty.
 
-    ``kinds``: the types of the row's columns by name (``dict(df.dtypes)``).
+    ``kinds``: the types of the row's columns by name (``dict(df.dtypes)``); ``get``: where a column's value comes from.
     """
-    lines = [F.concat(F.lit(f"{name}="), _printed(name, kinds)) for name in CONTENT_FIELDS]
+    lines = [F.concat(F.lit(f"{name}="), _printed(name, kinds, get)) for name in CONTENT_FIELDS]
     return F.concat(F.lit("sha256:"), F.sha2(F.concat_ws("\n", *lines), 256))
 
 

@@ -8,22 +8,40 @@ meet. The fold of two rows is also the merge of a stored row with an incoming on
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callweave.functions.arrays import merged_map, one, ordered_set
-from callweave.functions.text import non_empty
+from callweave.functions.arrays import empty, merged_map, one, ordered_set
+from callweave.functions.ids import content_hash, publisher_id
+from callweave.functions.text import non_empty, ordered_containing
 
 UNIONS = ("source_keys", "topics", "publisher_keywords", "domains")
 FIRSTS = ("id", "url", "source_url", "journal", "discovered_via")
+# How topics may have been found.
+TOPIC_METHODS = ("publisher", "llm", "none")
+# The journals of one publisher, in the order in which a call lists them.
+PLOS_JOURNALS = (
+    "PLOS Sustainability and Transformation", "PLOS Neglected Tropical Diseases", "PLOS Global Public Health", "PLOS Computational Biology", "PLOS Complex Systems", "PLOS Digital Health", "PLOS Mental Health",
+    "PLOS Genetics", "PLOS Pathogens", "PLOS Medicine", "PLOS Biology", "PLOS Climate", "PLOS Water", "PLOS ONE",
+)
 VERIFIED = ("summary", "image_url", "image_alt", "topics_model", "topics_input_hash", "topics_updated_at", "metadata_checked_at")
 
 
-def merge_rows(current: Column, incoming: Column, names: Sequence[str]) -> Column:
+def plos_names(journal: Column, journals: Column) -> Column:
+    """The publisher's journals that any of the names holds, else the journal alone: an array."""
+    named = F.array_join(ordered_set(one(journal), journals), " ")
+    found = ordered_containing(list(PLOS_JOURNALS), named)
+    return F.when(F.size(found) > 0, found).otherwise(F.array(F.coalesce(non_empty(journal), F.lit("PLOS"))))
+
+
+def merge_rows(current: Column, incoming: Column, names: Sequence[str] | dict[str, str]) -> Column:
     """The struct of two listings of one call, ``names`` being the columns of both; ``current`` came first.
 
+    With types of the columns (``names`` as a dict) the content hash is made anew where the rows have one, and a row whose
+    content is what it was keeps the time of its last change.
+
     The incoming row wins, but: ids and addresses keep their first non-empty value; lists and score maps are united; the
     first sight is the earliest; an unknown status, a missing deadline and an unverified state take nothing away; and
     where only the current row was verified, its metadata stay.
@@ -46,6 +64,8 @@ def merge_rows(current: Column, incoming: Column, names: Sequence[str]) -> Colum
         for n in VERIFIED:
             if n in has:
                 out[n] = F.when(keeps, cur(n)).otherwise(out[n])
+        if {"journal", "journals"} <= has:
+            out["journals"] = F.when(keeps, ordered_set(one(out["journal"]), cur("journals"), out["journals"])).otherwise(out["journals"])
         if "publisher_keywords" in has:
             out["publisher_keywords"] = F.when(keeps, ordered_set(cur("publisher_keywords"))).otherwise(out["publisher_keywords"])
         if "topics" in has:
@@ -66,14 +86,79 @@ def merge_rows(current: Column, incoming: Column, names: Sequence[str]) -> Colum
             out["deadline_status"] = F.when(lost, F.coalesce(cur("deadline_status"), F.lit("listed"))).when(unsaid, F.lit("not_listed")).otherwise(inc("deadline_status"))
             if "deadline_checked_at" in has:
                 out["deadline_checked_at"] = F.when(lost | unsaid, cur("deadline_checked_at")).otherwise(inc("deadline_checked_at"))
+    if {"journal", "journals"} <= has and has & {"publisher", "discovered_via"}:
+        theirs = F.coalesce(out["publisher"] == "PLOS" if "publisher" in has else F.lit(False), F.lit(False)) | F.coalesce(out["discovered_via"] == "plos-collections" if "discovered_via" in has else F.lit(False), F.lit(False))
+        listed = plos_names(out["journal"], out["journals"])
+        out["journal"], out["journals"] = F.when(theirs, listed[0]).otherwise(out["journal"]), F.when(theirs, listed).otherwise(out["journals"])
+    if "_merged" in has:
+        out |= _joined_states(cur, inc, has)
+    if "content_hash" in has and isinstance(names, dict):
+        out["content_hash"] = content_hash(names, out.__getitem__)
+        if "last_changed" in has:
+            out["last_changed"] = F.when(out["content_hash"] == cur("content_hash"), cur("last_changed")).otherwise(inc("last_changed"))
     return F.struct(*[out[n].alias(n) for n in names])
 
 
+# A fold in blocks needs what is associative. Of columns whose merge is not, the rows carry a state that is: the journals of
+# rows from the last to the first and all lists; the last status that says something, and the last one; the last deadline
+# with its state, the last state that was settled without one, and the last state.
+
+
+def _states(names: set[str]) -> dict[str, Column]:
+    """The states of a single row."""
+    out: dict[str, Column] = {"_merged": F.lit(False)}
+    if {"journal", "journals"} <= names:
+        out |= {"_heads": one(F.col("journal")), "_lists": F.coalesce("journals", empty())}
+    if "status" in names:
+        out |= {"_said": F.when(F.col("status") != "unknown", F.col("status")), "_last": F.col("status")}
+    if {"deadline", "deadline_status"} <= names:
+        at = F.col("deadline_checked_at") if "deadline_checked_at" in names else F.lit(None).cast("string")
+        dated, settled = F.col("deadline").isNotNull(), F.col("deadline_status") != "not_checked"
+        state = F.struct(F.col("deadline_status").alias("status"), at.alias("at"))
+        out |= {"_day": F.col("deadline"), "_dated": F.when(dated, state), "_settled": F.when(settled, state), "_state": state}
+    return out
+
+
+def _joined_states(cur: Callable[[str], Column], inc: Callable[[str], Column], has: set[str]) -> dict[str, Column]:
+    """The states of two runs of rows, one after the other."""
+    out: dict[str, Column] = {"_merged": F.lit(True)}
+    if "_heads" in has:
+        out |= {"_heads": F.array_distinct(F.concat(inc("_heads"), cur("_heads"))), "_lists": F.array_distinct(F.concat(cur("_lists"), inc("_lists")))}
+    if "_said" in has:
+        out |= {"_said": F.coalesce(inc("_said"), cur("_said")), "_last": inc("_last")}
+    if "_day" in has:
+        kept = F.struct(F.coalesce(cur("_dated")["status"], F.lit("listed")).alias("status"), cur("_dated")["at"].alias("at"))
+        out |= {
+            "_day": F.coalesce(inc("_day"), cur("_day")),
+            "_dated": F.when(inc("_day").isNotNull(), inc("_dated")).when(cur("_day").isNotNull(), kept),
+            "_settled": F.coalesce(inc("_settled"), cur("_settled")),
+            "_state": inc("_state"),
+        }
+    return out
+
+
+def _of_states(columns: list[str], names: set[str]) -> dict[str, Column]:
+    """The columns that follow from the states, for rows that were merged."""
+    merged, out = F.col("_merged"), {}
+    if "_heads" in names:
+        theirs = [F.coalesce(F.col(c) == v, F.lit(False)) for c, v in (("publisher", "PLOS"), ("discovered_via", "plos-collections")) if c in columns]
+        free = ~(theirs[0] | theirs[-1]) if theirs else F.lit(True)
+        out["journals"] = F.when(merged & free, ordered_set(one(F.col("journal")), F.col("_heads"), F.col("_lists"))).otherwise(F.col("journals"))
+    if "_said" in names:
+        out["status"] = F.when(merged, F.when(F.col("_said").isin("open", "closed"), F.col("_said")).otherwise(F.col("_last"))).otherwise(F.col("status"))
+    if "_day" in names:
+        state = F.when(F.col("_day").isNotNull(), F.col("_dated")).when(F.col("_settled.status") == "not_listed", F.col("_settled")).otherwise(F.col("_state"))
+        out["deadline_status"] = F.when(merged, state["status"]).otherwise(F.col("deadline_status"))
+        if "deadline_checked_at" in columns:
+            out["deadline_checked_at"] = F.when(merged, state["at"]).otherwise(F.col("deadline_checked_at"))
+    return out
+
+
 #: Rows of a key that are folded from one list.
 BLOCK = 1000
 
 
-def _folded(df: DataFrame, keys: list[str], order: list[str], names: Sequence[str], kind: str) -> DataFrame:
+def _folded(df: DataFrame, keys: list[str], order: list[str], names: dict[str, str], kind: str) -> DataFrame:
     """``keys`` and ``r``: the rows ``r`` of each key merged in order."""
     rows = F.collect_list(F.struct(F.struct(*order).alias("o"), "r"))
     by_order = lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)
@@ -88,11 +173,16 @@ def _folded(df: DataFrame, keys: list[str], order: list[str], names: Sequence[st
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row for each key: its rows merged in order. Rows with a null key pass unchanged.
 
-    Merging is associative but for rows that were verified (``metadata_checked_at``). Tables without that column are folded in
-    blocks of ``BLOCK`` consecutive rows, then block by block, so that no list grows with a hot key; both steps use the
-    partitioning of the first. With that column a key's rows are one list: listings of one call, few by nature.
+    Merging is associative but for rows that were verified (``metadata_checked_at``) or carry a hash of their content, which
+    every step makes anew. Tables without these columns are folded in blocks of ``BLOCK`` consecutive rows, then block by
+    block, so that no list grows with a hot key; both steps use the partitioning of the first. With
+    those columns a key's rows are one list: listings of one call, few by nature.
     """
-    names = df.columns
+    columns = df.columns
+    blocks = not {"metadata_checked_at", "content_hash"} & set(columns)
+    if blocks:
+        df = df.withColumns(_states(set(columns)))
+    names = dict(df.dtypes)
     keyed = df
     for k in keys:
         keyed = keyed.where(F.col(k).isNotNull())
@@ -101,11 +191,12 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     own = [f"_{k}" for k in keys]
     rows = keyed.select(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)], *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*names).alias("r"))
     places = [f"_o{i}" for i in range(len(order))]
-    if "metadata_checked_at" not in names:
+    if blocks:
         line = Window.partitionBy(*own).orderBy(*places)
         rows = _folded(rows.withColumn("_b", F.floor((F.row_number().over(line) - 1) / BLOCK)), [*own, "_b"], places, names, kind)
         places = ["_b"]
-    return _folded(rows, own, places, names, kind).select("r.*").unionByName(loose)
+    out = _folded(rows, own, places, names, kind).select("r.*").unionByName(loose)
+    return out.withColumns(_of_states(columns, set(names))).select(columns) if blocks else out
 
 
 def collapse_business_keys(df: DataFrame) -> DataFrame:
@@ -138,7 +229,7 @@ def adopt_ids(incoming: DataFrame, stored: DataFrame, new_id: Column, position:
 
 def upsert(stored: DataFrame, incoming: DataFrame, position: str | None = None) -> DataFrame:
     """Stored rows with incoming ones merged in by id; several incoming rows of an id fold in order of ``position`` first."""
-    names = stored.columns
+    names = dict(stored.dtypes)
     new = fold(incoming.select(*names, *([position] if position and position not in names else [])), ["id"], [position]).select(*names) if position else incoming.select(*names)
     kind = stored.schema.simpleString()
     both = stored.select("id", F.struct(*names).alias("cur")).join(new.select("id", F.struct(*names).alias("inc")), "id", "full_outer")
@@ -147,29 +238,62 @@ def upsert(stored: DataFrame, incoming: DataFrame, position: str | None = None)
 
 
 def carry_forward(incoming: DataFrame, stored: DataFrame, now: Column, today: Column) -> DataFrame:
-    """Records made of raw rows with what is stored of them: id, deadline and its state, status, metadata, first_seen.
+    """Records made of raw rows with what is stored of them: identity, deadline and its state, journals, topics, metadata.
 
-    ``incoming`` has id, title, url, status, deadline, summary, image_url, image_alt, raw_deadline_status and
-    raw_deadline_checked_at; a deadline that a listing omits keeps its confirmed value.
+    ``incoming`` has id, title, url, status, deadline, raw_deadline_status and raw_deadline_checked_at, and any other column
+    of a record; what it or ``stored`` has not counts as null. A listing that omits something takes nothing away.
+    Columns of the result: what the two tables have of a record's columns, with a content hash and the time of the last
+    change.
     """
-    old = stored.select("id", *[F.col(c).alias(f"old_{c}") for c in ("deadline", "deadline_status", "deadline_checked_at", "status", "summary", "image_url", "image_alt", "first_seen") if c in stored.columns])
-    rows = incoming.join(old.withColumn("old", F.lit(True)), "id", "left")
-    prior = lambda c: F.col(f"old_{c}") if f"old_{c}" in rows.columns else F.lit(None).cast("string")
-    deadline = F.coalesce("deadline", "old_deadline")
-    same = F.col("old_deadline").isNotNull() & (F.col("old_deadline") == deadline)
+    have, held = set(incoming.columns), set(stored.columns) - {"id"}
+    rows = incoming.join(stored.select("id", *[F.col(c).alias(f"old_{c}") for c in sorted(held)]).withColumn("old", F.lit(True)), "id", "left")
+    kinds = dict(stored.dtypes) | dict(incoming.dtypes)
+    null = lambda c: F.lit(None).cast(kinds.get(c, "array<string>" if c in (*UNIONS, "journals") else "string"))
+    new = lambda c: F.col(c) if c in have else null(c)
+    old = lambda c: F.col(f"old_{c}") if c in held else null(c)
+    known_row = F.coalesce("old", F.lit(False))
+    out: dict[str, Column] = {c: new(c) for c in ("id", "title", "publisher", "venue_type", "collection_type", "url", "source_url", "source_section", "classification_method", "extraction_method", "submission_mode") if c in have}
+    deadline = F.coalesce(new("deadline"), old("deadline"))
+    same = old("deadline").isNotNull() & (old("deadline") == deadline)
     verified = (F.col("raw_deadline_status") == "not_listed") & F.col("raw_deadline_checked_at").isNotNull()
-    known = F.when(F.col("old_deadline_status").isin("listed", "not_listed", "not_checked"), F.col("old_deadline_status")).otherwise("not_checked")
-    return rows.select(
-        "id", "title", "url",
-        deadline.alias("deadline"),
-        F.when(deadline.isNotNull(), "listed").when(verified, "not_listed").when(F.col("old"), known).otherwise("not_checked").alias("deadline_status"),
-        F.when(deadline.isNotNull(), F.when(same, F.col("old_deadline_checked_at")).otherwise(now)).when(verified, F.col("raw_deadline_checked_at")).when(F.col("old"), F.col("old_deadline_checked_at")).alias("deadline_checked_at"),
-        F.when((F.col("status") == "unknown") & prior("status").isin("open", "closed"), prior("status")).otherwise(F.col("status")).alias("status"),
-        F.coalesce("summary", prior("summary")).alias("summary"),
-        F.coalesce("image_url", prior("image_url")).alias("image_url"),
-        F.coalesce("image_alt", prior("image_alt")).alias("image_alt"),
-        F.coalesce("old_first_seen", today).alias("first_seen"),
-    )
+    state = F.when(old("deadline_status").isin("listed", "not_listed", "not_checked"), old("deadline_status")).otherwise("not_checked")
+    out |= {
+        "deadline": deadline,
+        "deadline_status": F.when(deadline.isNotNull(), "listed").when(verified, "not_listed").when(known_row, state).otherwise("not_checked"),
+        "deadline_checked_at": F.when(deadline.isNotNull(), F.when(same, old("deadline_checked_at")).otherwise(now)).when(verified, F.col("raw_deadline_checked_at")).when(known_row, old("deadline_checked_at")),
+        "status": F.when((new("status") == "unknown") & old("status").isin("open", "closed"), old("status")).otherwise(new("status")),
+        "first_seen": F.coalesce(old("first_seen"), today),
+    }
+    out |= {c: F.coalesce(new(c), old(c)) for c in ("summary", "image_url", "image_alt")}
+    if "journal" in have:
+        checked = old("metadata_checked_at").isNotNull()
+        mine = F.when(F.size(F.coalesce(new("journals"), empty())) > 0, new("journals")).otherwise(one(new("journal")))
+        out["journal"] = F.when(checked, F.coalesce(non_empty(old("journal")), new("journal"))).otherwise(new("journal"))
+        out["journals"] = F.when(checked, ordered_set(one(out["journal"]), old("journals"), mine)).otherwise(ordered_set(one(out["journal"]), mine, old("journals")))
+    if have & {"source_keys", "discovered_via"}:
+        mine = F.when(F.size(F.coalesce(new("source_keys"), empty())) > 0, new("source_keys")).otherwise(one(new("discovered_via")))
+        out["source_keys"] = ordered_set(old("source_keys"), mine)
+        out["discovered_via"] = F.coalesce(old("discovered_via"), new("discovered_via"))
+    if "publisher_id" in have:
+        out["publisher_id"] = F.coalesce(non_empty(new("publisher_id")), non_empty(old("publisher_id")), publisher_id(new("url"), new("publisher")))
+    if "domains" in have:
+        out["domains"] = ordered_set(new("domains"), old("domains"))
+    if "domain_scores" in have:
+        out["domain_scores"] = F.when(old("domain_scores").isNull(), new("domain_scores")).when(new("domain_scores").isNull(), old("domain_scores")).otherwise(merged_map(old("domain_scores"), new("domain_scores")))
+    if {"topics", "publisher_keywords"} & have:
+        keywords = F.when(F.size(F.coalesce(new("publisher_keywords"), empty())) > 0, ordered_set(new("publisher_keywords"))).otherwise(ordered_set(old("publisher_keywords")))
+        mine, theirs = ordered_set(new("topics")), ordered_set(old("topics"))
+        either = lambda a, b: F.when(F.size(a) > 0, a).otherwise(b)
+        method = F.when(old("topics_method").isin(*TOPIC_METHODS), old("topics_method")).otherwise("none")
+        stayed = known_row & ((F.size(theirs) > 0) | old("topics_method").isin(*TOPIC_METHODS))
+        out["publisher_keywords"] = keywords
+        out["topics"] = F.when(F.size(keywords) > 0, either(mine, theirs)).when(stayed, either(theirs, mine)).otherwise(mine)
+        out["topics_method"] = F.when(F.size(keywords) > 0, "publisher").when(stayed, method).otherwise("none")
+    out |= {c: old(c) for c in ("metadata_checked_at", "topics_model", "topics_input_hash", "topics_updated_at") if c in held}
+    made = rows.select(*[v.alias(c) for c, v in out.items()], old("content_hash").alias("_hash"), old("last_changed").alias("_changed"))
+    hashed = made.withColumn("content_hash", content_hash(dict(made.dtypes)))
+    changed = F.when(F.col("_hash") == F.col("content_hash"), F.col("_changed")).otherwise(now.cast(kinds.get("last_changed", "timestamp_ntz")))
+    return hashed.withColumn("last_changed", changed).drop("_hash", "_changed")
 
 
 def last_writer(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
@@ -180,5 +304,5 @@ def last_writer(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
 
 def first_writer(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
     """One row for each key: the first by ``position``."""
-    line = Window.partitionBy(*keys).orderBy(position)
-    return df.withColumn("_n", F.row_number().over(line)).where("_n = 1").drop("_n")
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(position, *[c for c in rest if c == "id"])).alias("r")).select(*keys, "r.*").select(df.columns)
