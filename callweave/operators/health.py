@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +73,40 @@ def page_quality(html: Column, cards: str = r"(?i)<(?:article|li)\b", least: int
     return F.struct(reason.isNull().alias("ok"), reason.alias("reason"))
 
 
+# What the saved listing of each source must hold (one phrase of each group), by key; a key that ends in a dash
+# stands for all keys that begin so. Short pages with one of the wall's phrases are walls.
+LISTING_MARKERS = {
+    "apa-cfp": (("bodyleft",), ("/pubs/journals/",)),
+    "sciencedirect-cfp": (("/special-issue/",), ("js-publication", 'class="publication')),
+    "aps-cfp": (("journal of neurophysiology",), ("deadline", "call for papers")),
+    "science-robotics-cfp": (("special issue",), ("deadline",)),
+    "tandf-cfp": (("cfp-item",),),
+    "sage-cfp": (("submission deadline",), ("psychology", "special issue")),
+    "pnas-cfp": (("call for papers",), ("pnas", "national academy")),
+    "pnas-nexus-cfp": (("pnas nexus",), ("call for papers", "special")),
+    "josa-a-features": (("feature",), ("deadline", "josa")),
+    "wiley-": (("call for papers", "special issue"),),
+}
+LISTING_WALLS = ("pardon our interruption", "cf-browser-verification", "performing security verification", "captcha page", "access denied")
+BLOCK_PAGES = {"sciencedirect-cfp": "problem providing the content you requested", "apa-cfp": "pardon our interruption"}
+WALL_CHARS, STUB_CHARS = 20_000, 5_000
+
+
+def listing_quality(key: Column, html: Column) -> Column:
+    """(ok, reason) of the saved listing of the source ``key``: no wall, no block page, and the markers of that source."""
+    low = F.lower(F.coalesce(html, F.lit("")))
+    any_of = lambda phrases: reduce(lambda a, b: a | b, [F.contains(low, F.lit(p)) for p in phrases])
+    named = lambda k: F.startswith(key, F.lit(k)) if k.endswith("-") else key == k
+    known, marked = F.lit(False), F.lit(False)
+    for k, groups in LISTING_MARKERS.items():
+        known = known | named(k)
+        marked = marked | (named(k) & reduce(lambda a, b: a & b, map(any_of, groups)))
+    blocked = reduce(lambda a, b: a | b, [(key == k) & F.contains(low, F.lit(p)) for k, p in BLOCK_PAGES.items()])
+    stub = (key == "apa-cfp") & F.contains(low, F.lit("incapsula")) & (F.length(low) < STUB_CHARS)
+    reason = F.when(any_of(LISTING_WALLS) & (F.length(low) < WALL_CHARS) | blocked, "block page").when(stub, "stub").when(~F.coalesce(known, F.lit(False)), "unknown listing").when(~marked, "markers missing")
+    return F.struct(reason.isNull().alias("ok"), reason.alias("reason"))
+
+
 def snapshot_url_ok(url: Column, hosts: list[str]) -> Column:
     """True for https URLs on port 443 of one of ``hosts`` without credentials."""
     return url.rlike(r"^https://[^/?#@:]+(?::443)?(?:[/?#]|$)") & F.regexp_extract(url, r"^https://([^/?#@:]+)", 1).isin(*hosts)

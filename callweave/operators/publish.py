@@ -57,6 +57,15 @@ def table_lines(df: DataFrame, today: Column) -> DataFrame:
     return dated_open_calls(df, today).select("deadline", "title", "id", line.alias("line"))
 
 
+def table_document(df: DataFrame, today: Column) -> DataFrame:
+    """The Markdown document of dated open calls in order: (part, deadline, title, id, line), headings first."""
+    heads = F.array(F.lit("# Open calls"), F.lit(""), F.concat(F.lit("Generated "), today.cast("string"), F.lit(". Sorted by deadline.")), F.lit(""), F.lit("| Deadline | Title | Journal | Fields | Type | URL |"), F.lit("| --- | --- | --- | --- | --- | --- |"))
+    rows = table_lines(df, today)
+    none = {c: F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes if c != "line"}
+    top = df.sparkSession.range(1).select(F.posexplode(heads).alias("part", "line")).select("part", *none.values(), "line")
+    return top.unionByName(rows.withColumn("part", F.lit(1000))).orderBy("part", "deadline", table_cell(F.col("title")), "id")
+
+
 def new_calls(current: DataFrame, prior: DataFrame) -> DataFrame:
     """Calls that were not stored before."""
     return current.join(prior.select("id"), "id", "left_anti")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,20 +108,57 @@ def model_targets(df: DataFrame, input_hash: Column, limit: int) -> DataFrame:
     return rows.orderBy("first_seen", "id").limit(max(0, limit))
 
 
+def _items(reply: str | None, asked: list[str]) -> dict[str, object] | str:
+    """What a reply gives for each id, or what is wrong with it. Shapes: ``{"topics": ...}`` around, or plainly, an object of
+    lists by id, or a list of objects with id and topics."""
+
+    def once(pairs: list[tuple[str, object]]) -> dict[str, object]:
+        if len({k for k, _ in pairs}) < len(pairs):
+            raise KeyError
+        return dict(pairs)
+
+    try:
+        found = json.loads(reply or "", object_pairs_hook=once)
+    except KeyError:
+        return "duplicate key"
+    except ValueError:
+        return "no JSON"
+    if isinstance(found, dict) and list(found) == ["topics"]:
+        found = found["topics"]
+    if isinstance(found, list):
+        if not all(isinstance(x, dict) and "id" in x for x in found):
+            return "item without id"
+        keys = [str(x["id"]) for x in found]
+        if len(set(keys)) < len(keys):
+            return "duplicate id"
+        found = {k: x.get("topics") for k, x in zip(keys, found, strict=True)}
+    if not isinstance(found, dict):
+        return "unexpected shape"
+    if found.keys() != set(asked):
+        return "ids differ"
+    return found if all(isinstance(v, list) and all(isinstance(x, str) for x in v) for v in found.values()) else "labels not valid"
+
+
 def reply_topics(replies: DataFrame, asked: DataFrame) -> DataFrame:
     """(batch, id, labels, error): a model's JSON replies checked against the ids asked for.
 
-    ``replies`` has batch and reply (``{"topics": {id: [labels]}}``), ``asked`` batch and id. A reply must name each
-    asked id once and no other, and give three to six distinct labels of at most 40 characters; else its error is told.
+    ``replies`` has batch and reply, ``asked`` batch and id. A reply must name each asked id once and no other, and give
+    three to six distinct labels of at most 40 characters; else its error is told. Keys that occur twice in an object
+    are an error, which is why replies are read in Python; a batch is a prompt, a few ids.
     """
-    parsed = replies.select("batch", F.from_json("reply", "topics map<string, array<string>>").alias("j"))
     wanted = asked.groupBy("batch").agg(F.array_sort(F.collect_set("id")).alias("ids"))
-    both = wanted.join(parsed, "batch", "left")
-    got = F.array_sort(F.map_keys("j.topics"))
-    ok = both.withColumn("error", F.when(F.col("j.topics").isNull(), "no topics").when(got != F.col("ids"), "ids differ"))
-    each = ok.select("batch", F.explode("ids").alias("id"), "error", "j").withColumn("labels", F.when(F.col("error").isNull(), F.transform(F.try_element_at("j.topics", F.col("id")), lambda v: topic_label(v))))
-    n = F.size("labels")
-    bad = F.when(n.between(3, 6) & ~F.exists("labels", lambda x: x.isNull() | (F.length(x) > 40)) & (F.size(distinct_ignoring_case(F.array_compact("labels"))) == n), F.lit(None)).otherwise("labels not valid")
-    return each.select("batch", "id", "labels", F.coalesce("error", bad.cast("string")).alias("error"))
-
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for b, keys, reply in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = _items(reply, keys)
+                rows += [{"batch": b, "id": k, "given": None if isinstance(found, str) else found[k], "error": found if isinstance(found, str) else None} for k in keys]
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("batch", batch.schema.field(0).type), ("id", pa.string()), ("given", pa.list_(pa.string())), ("error", pa.string())]))
+
+    kind = dict(asked.dtypes)["batch"]
+    each = wanted.join(replies.select("batch", "reply"), "batch", "left").mapInArrow(read, f"batch {kind}, id string, given array<string>, error string")
+    each = each.withColumn("labels", F.transform("given", lambda v: topic_label(v, TOPIC_ALIASES)))
+    n = F.size("labels")
+    good = n.between(3, 6) & ~F.exists("labels", lambda x: x.isNull() | (F.length(x) > 40)) & (F.size(distinct_ignoring_case(F.array_compact("labels"))) == n)
+    return each.select("batch", "id", F.when(F.col("error").isNull(), F.col("labels")).alias("labels"), F.coalesce("error", F.when(~good, "labels not valid")).alias("error"))

@@ -68,11 +68,12 @@ def ingest(raw: DataFrame, stored: DataFrame, journals: DataFrame, domains: dict
     return Run(current, rejected, counters)
 
 
-def artifacts(current: DataFrame, prior: DataFrame, ledger: DataFrame, today: Column) -> dict[str, DataFrame]:
-    """What a run publishes, each in order: the viewer's listing, the table of dated calls, the digest of unsent ones."""
+def artifacts(current: DataFrame, prior: DataFrame, ledger: DataFrame, today: Column, status: DataFrame | None = None) -> dict[str, DataFrame]:
+    """What a run publishes, each in order: the viewer's listing, the table of dated calls, the digest of unsent ones, and
+    the status of the run's sources (``status``, a row a source) as JSON."""
     viewer = publish.viewer_listing(current, today)
     return {
         "viewer": viewer.select(F.to_json(F.struct(*viewer.columns), {"ignoreNullFields": "false"}).alias("value")),
-        "table": publish.table_lines(current, today).orderBy("deadline", "title", "id").select("line"),
+        "table": publish.table_document(current, today).select("line"),
         "digest": publish.digest(publish.unsent(publish.new_calls(current, prior), ledger, today)),
-    }
+    } | ({} if status is None else {"status": status.orderBy(status.columns[0]).select(F.to_json(F.struct(*status.columns), {"ignoreNullFields": "false"}).alias("value"))})

@@ -160,13 +160,13 @@ def posts(kind: str, journals: tuple[str, ...] = (), keywords: tuple[str, ...] =
 _NOTICES = "struct<data: array<struct<announcement_id: string, journal_id: string, title: string, description_short: string>>, pagination: struct<lastPage: int>>"
 
 
-def announcements(journal_id: str) -> Callable[[DataFrame, DataFrame, Column], DataFrame]:
-    """The connector of announcements as JSON: those of one journal that call for papers."""
+def announcements(journal_id: str | None = None) -> Callable[[DataFrame, DataFrame, Column], DataFrame]:
+    """The connector of announcements as JSON: those of one journal, or of any, that call for papers."""
 
     def run(replies: DataFrame, sources: DataFrame, today: Column) -> DataFrame:
         dims = sources.select("source_key", F.col("url").alias("source_url"), "publisher", "journal", "collection_type")
         rows = replies.select("source_key", F.posexplode(F.from_json("payload", _NOTICES)["data"]).alias("place", "a")).join(dims, "source_key")
-        rows = rows.where((F.col("a.journal_id") == journal_id) & F.col("a.title").rlike("(?i)call for papers") & F.col("a.announcement_id").rlike(r"^\d+$"))
+        rows = rows.where((F.lit(True) if journal_id is None else F.col("a.journal_id") == journal_id) & F.col("a.title").rlike("(?i)call for papers") & F.col("a.announcement_id").rlike(r"^\d+$"))
         title = F.trim(F.regexp_replace("a.title", r"(?i)^call\s+for\s+papers\s*[:–—-]?\s*(?:theme\s+issue\s*:\s*)?", ""))
         root = F.regexp_extract("source_url", r"^(https?://[^/?#]+)", 1)
         out = rows.select(
@@ -193,7 +193,24 @@ def call_documents(documents: DataFrame, sources: DataFrame, date_pattern: str,
     )
 
 
-REGISTRY: dict[str, Callable[[DataFrame, DataFrame, Column], DataFrame]] = {kind: listing(kind) for kind in RECIPES} | {"plos": posts("plos"), "taylor_francis": posts("taylor_francis")}
+#: The labelled date of a call document.
+DOCUMENT_DATE = rf"(?i)(?:submission\s+)?deadline\s*:?\s*({DATE})"
+
+
+def checked(connector: Callable[[DataFrame, DataFrame, Column], DataFrame]) -> Callable[[DataFrame, DataFrame, Column], DataFrame]:
+    """``connector`` with the time at which a call was seen to have no deadline: without it the absence is not believed."""
+
+    def run(inputs: DataFrame, sources: DataFrame, today: Column) -> DataFrame:
+        return connector(inputs, sources, today).withColumn("raw_deadline_checked_at", F.when(F.col("raw_deadline_status") == "not_listed", today.cast("timestamp_ntz")))
+
+    return run
+
+
+CONNECTORS = {kind: listing(kind) for kind in RECIPES} | {
+    "plos": posts("plos"), "taylor_francis": posts("taylor_francis"), "announcements": announcements(),
+    "call_document": lambda documents, sources, today: call_documents(documents, sources, DOCUMENT_DATE, today),
+}
+REGISTRY: dict[str, Callable[[DataFrame, DataFrame, Column], DataFrame]] = {kind: checked(f) for kind, f in CONNECTORS.items()}
 
 
 def run_sources(inputs: dict[str, DataFrame], sources: DataFrame, today: Column) -> DataFrame:

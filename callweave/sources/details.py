@@ -182,7 +182,7 @@ def collection_details(pages: DataFrame) -> DataFrame:
     A page counts only if it is the one asked for: same host and path (a collection's submission page may fall back to the
     collection), and a title that shares four words in five; a renamed collection is accepted by its exact address, its
     heading and a state that it gives, and its new title is told. A deadline that cannot be read is an error, and so is
-    an answer from 400 on; an error changes nothing.
+    any answer but 200; an error changes nothing.
     """
     found = page_parts(pages, COLLECTION_PARTS)
     here, there = _place(F.col("wanted_url")), _place(F.col("final_url"))
@@ -208,7 +208,7 @@ def collection_details(pages: DataFrame) -> DataFrame:
     unread = (nature & end.isNotNull() & deadline.isNull()) | (jske & deadline.isNull()) | (springer & (due != "") & (F.lower(due) != "ongoing") & deadline.isNull())
     renamed = nature & _first("headings").isNotNull() & (nature_state != "unknown")
     error = (
-        F.when(F.col("code") >= 400, F.concat(F.lit("status "), F.col("code").cast("string")))
+        F.when(F.col("code") != 200, F.concat(F.lit("status "), F.col("code").cast("string")))
         .when(~F.coalesce(same, F.lit(False)), "another page")
         .when(~(titled | renamed), "another title")
         .when(jske & (first == ""), "no deadline label")
@@ -226,13 +226,21 @@ def collection_details(pages: DataFrame) -> DataFrame:
 def apply_collection_details(rows: DataFrame, details: DataFrame, checked_at: Column) -> DataFrame:
     """``rows`` with what ``collection_details`` found, by id; rows with an error or without a page stay as they are.
 
-    A known deadline is replaced by what its page says, also by nothing: the page is the call's own.
+    A known deadline stays where its page gives none. A row whose content moved gets the time of the check as that of its last
+    change, where ``rows`` have a content hash and such a time.
     """
     seen = details.where("error is null").select("id", *[F.col(c).alias(f"_{c}") for c in ("deadline", "deadline_status", "status", "title")], F.lit(True).alias("_ok"))
     both = rows.join(seen, "id", "left")
     ok = F.coalesce("_ok", F.lit(False))
-    new = {"deadline": F.col("_deadline"), "deadline_status": F.col("_deadline_status"), "status": F.col("_status"), "title": F.coalesce("_title", "title"), "deadline_checked_at": checked_at}
-    return both.select(*[(F.when(ok, new[c]).otherwise(F.col(c)).cast(kind) if c in new else F.col(c)).alias(c) for c, kind in rows.dtypes])
+    day = F.coalesce("_deadline", "deadline")
+    new = {"deadline": day, "deadline_status": F.when(day.isNotNull(), "listed").otherwise(F.col("_deadline_status")), "status": F.col("_status"), "title": F.coalesce("_title", "title"), "deadline_checked_at": checked_at}
+    kinds = dict(rows.dtypes)
+    out = both.select(*[(F.when(ok, new[c]).otherwise(F.col(c)).cast(kind) if c in new else F.col(c)).alias(c) for c, kind in kinds.items()], ok.alias("_ok"))
+    if {"content_hash", "last_changed"} <= set(kinds):
+        out = out.withColumn("_new", F.when(F.col("_ok"), ids.content_hash(kinds)))
+        moved = F.col("_ok") & ~F.col("_new").eqNullSafe(F.col("content_hash"))
+        out = out.withColumns({"last_changed": F.when(moved, checked_at.cast(kinds["last_changed"])).otherwise(F.col("last_changed")), "content_hash": F.coalesce("_new", "content_hash")})
+    return out.select(rows.columns)
 
 
 def source_urls(address: Column, more: Column) -> Column:

@@ -40,6 +40,11 @@ def write_jsonl(df: DataFrame, path: str, key: str = "id") -> None:
     replace(df.sparkSession, staged, path)
 
 
+def write_jsonl_plainly(df: DataFrame, path: str) -> None:
+    """JSON lines in the order of ``df``, written straight to ``path`` and over what is there: a reader may meet it half done."""
+    df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+
+
 def stage(lines: DataFrame, path: str) -> str:
     """``lines`` (one text column) written beside ``path``; returns where."""
     staged = f"{path}.{uuid.uuid4().hex}.tmp"
@@ -106,6 +111,14 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("html"))
 
 
+def read_saved(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Saved listings (source_key, path, html) by the key of their source, each a file or a folder of files."""
+    out = spark.createDataFrame([], "source_key string, path string, html string")
+    for key, path in sorted(paths.items()):
+        out = out.unionByName(read_pages(spark, path).select(F.lit(key).alias("source_key"), "path", "html"))
+    return out
+
+
 def snapshot_fits(content: Column) -> Column:
     return F.octet_length(content) <= SNAPSHOT_BYTES
 

@@ -136,7 +136,17 @@ def test_reply_checks(spark):
     asked = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d")], "batch int, id string")
     replies = spark.createDataFrame([(1, '{"topics": {"a": ["x", "y", "z"], "b": ["x", "x", "y"]}}'), (2, '{"topics": {"other": ["x"]}}'), (3, "broken")], "batch int, reply string")
     got = {r["id"]: r["error"] for r in topics.reply_topics(replies, asked).collect()}
-    assert got["a"] is None and got["b"] == "labels not valid" and got["c"] == "ids differ" and got["d"] is not None
+    assert got["a"] is None and got["b"] == "labels not valid" and got["c"] == "ids differ" and got["d"] == "no JSON"
+
+
+@pytest.mark.parametrize(("reply", "error"), [
+    ('{"topics": {"a": ["x", "y", "Virtual reality"]}}', None), ('{"a": ["x", "y", "z"]}', None), ('[{"id": "a", "topics": ["x", "y", "z"]}]', None), ('[{"id": "a", "topics": ["x", "y", "z"]}, {"id": "a", "topics": ["x", "y", "w"]}]', "duplicate id"),
+    ('{"topics": {"a": ["x", "y", "z"], "a": ["x", "y", "w"]}}', "duplicate key"), ('[{"topics": ["x", "y", "z"]}]', "item without id"), ('"a"', "unexpected shape"), ('{"a": ["x", "y", 3]}', "labels not valid"), ('{"a": ["x", "y"]}', "labels not valid"),
+    ('{"a": ["x", "y", "' + "z" * 41 + '"]}', "labels not valid"), ('{"a": {"x": 1}}', "labels not valid"), (None, "no JSON"),
+])
+def test_shapes_of_replies(spark, reply, error):
+    r = topics.reply_topics(spark.createDataFrame([(1, reply)], "batch int, reply string"), spark.createDataFrame([(1, "a")], "batch int, id string")).first()
+    assert r["error"] == error and (r["labels"] is None or error) if error else len(r["labels"]) == 3
 
 
 def test_watched_journals(spark):
@@ -208,3 +218,30 @@ def test_migration_is_idempotent(spark):
     assert rows["1"]["url"] == "https://link.springer.com/collections/abc" and rows["1"]["topics"] == ["VR", "sleep"] and rows["1"]["topics_method"] == "publisher" and rows["1"]["journals"] == ["J"]
     assert rows["2"]["deadline_status"] == "listed" and rows["2"]["publisher_id"] == "5" and rows["2"]["topics_method"] == "none"
     assert sorted(map(str, migrate.migrate(once).select(once.columns).collect())) == sorted(map(str, once.collect()))
+
+
+def test_table_document_and_status(spark):
+    from callweave.operators import publish
+    from callweave.plans.ingest import artifacts
+
+    calls = spark.createDataFrame([("b", "B | b", "J", ["hci"], "collection", "u", "open", dt.date(2026, 11, 2)), ("a", "A", "J", None, None, "u", "open", dt.date(2026, 11, 1)), ("c", "C", "J", None, None, "u", "closed", dt.date(2026, 11, 1))], "id string, title string, journal string, domains array<string>, collection_type string, url string, status string, deadline date")
+    day = F.lit("2026-10-15").cast("date")
+    lines = [r["line"] for r in publish.table_document(calls, day).collect()]
+    assert lines[:6] == ["# Open calls", "", "Generated 2026-10-15. Sorted by deadline.", "", "| Deadline | Title | Journal | Fields | Type | URL |", "| --- | --- | --- | --- | --- | --- |"]
+    assert [x.split(" | ")[1] for x in lines[6:]] == ["A", "B / b"]
+    status = spark.createDataFrame([("s2", 3), ("s1", None)], "source string, rows int")
+    whole = calls.withColumns({"deadline_status": F.lit("listed"), "first_seen": day})
+    ledger = spark.createDataFrame([], "alert_key string, sent_at string")
+    assert [r["value"] for r in artifacts(whole, whole.limit(0), ledger, day, status)["status"].collect()] == ['{"source":"s1","rows":null}', '{"source":"s2","rows":3}']
+
+
+@pytest.mark.parametrize(("key", "html", "reason"), [
+    ("apa-cfp", '<div class="bodyleft"><a href="/pubs/journals/x">', None), ("apa-cfp", "<p>Incapsula</p>", "stub"), ("apa-cfp", "<p>Pardon our interruption</p>" + "x" * 30_000, "block page"), ("sciencedirect-cfp", '<li class="publication"><a href="/special-issue/1">', None),
+    ("sciencedirect-cfp", "There was a problem providing the content you requested", "block page"), ("wiley-brain", "Call for Papers", None), ("wiley-brain", "Issues", "markers missing"), ("other", "call for papers", "unknown listing"), (None, None, "unknown listing"),
+    ("pnas-cfp", "Access denied: call for papers, pnas", "block page"), ("pnas-cfp", "Call for papers at PNAS. " + "access denied " + "x" * 20_000, None),
+])
+def test_listing_quality(spark, key, html, reason):
+    from callweave.operators import health
+
+    r = spark.createDataFrame([(key, html)], "k string, h string").select(health.listing_quality(F.col("k"), F.col("h")).alias("q")).first()["q"]
+    assert (r["ok"], r["reason"]) == (reason is None, reason)
