@@ -822,3 +822,94 @@ def artifact_lines(spark, d):
 def status_carry(spark, d):
     n = lambda no: load(spark, d, "call_snapshots").where(F.col("snapshot_no") == no).groupBy("source_key").agg(F.count("*").alias("rows"))
     return H.carry_status(load(spark, d, "sources"), n(8), n(7))
+
+
+# -- detail pages: pages made of the stored calls, read back ------------------------------------------------------------
+def _topic_pages(spark, d):
+    """A topic page for each call. By the length of its id the deadline stands plainly, behind an extension or in an alert box."""
+    rows = load(spark, d, "collections").where("title is not null")
+    branch = F.length("id") % 3
+    day = F.date_format("deadline", "d MMMM yyyy")
+    label = F.lit("<p>Manuscript Submission Deadline ")
+    said = (
+        F.when(F.col("deadline").isNull(), F.when(branch == 1, F.concat(label, F.lit("soon</p>"))).otherwise(""))
+        .when(branch == 0, F.concat(label, day, F.lit("</p>")))
+        .when(branch == 1, F.concat(label, F.lit("1 January 2030</p><p>Manuscript Extension Submission Deadline: "), day, F.lit("</p>")))
+        .otherwise(F.concat(F.lit('<div class="Alert__infoItem__text">Manuscript Submission Deadline '), day, F.lit("</div><p>Manuscript Extension Submission Deadline 1 January 2030</p>")))
+    )
+    address = F.concat(F.lit("https://topics.example/research-topics/"), "id")
+    others = F.array_join(F.transform(F.coalesce("journals", empty()), lambda j: F.concat(F.lit('<h3 class="journalTitle">'), text.html_escape(j), F.lit("</h3>"))), "")
+    html = F.concat(
+        F.lit('<html><head><link rel="canonical" href="'), address, F.lit('"></head><body><h1>'), text.html_escape(F.col("title")), F.lit('</h1><h2 class="CardJournal__Title--journal">'),
+        text.html_escape(F.coalesce("journal", F.lit(""))), F.lit('</h2><div class="RtSidePanel__Section__OtherParticipatingJournals">'), others, F.lit("</div>"), said, F.lit("</body></html>"),
+    )
+    return rows.withColumns({"url": address, "html": html})
+
+
+@query("ref_h3_h6_topic_pages", f"""
+SELECT id, nullif({_collapse('title')}, '') AS title, nullif({_collapse("coalesce(journal, '')")}, '') AS journal, deadline, deadline IS NOT NULL OR length(id) % 3 = 1 AS marker,
+ len(list_distinct(list_filter(list_transform(list_concat([journal], coalesce(journals, [])), lambda v: {_collapse('v')}), lambda v: v <> ''))) AS names FROM collections WHERE title IS NOT NULL""")
+def topic_pages(spark, d):
+    from callweave.sources.details import topic_details
+
+    pages = _topic_pages(spark, d)
+    found = topic_details(pages.select("url", "html")).select(F.substring_index("url", "/", -1).alias("id"), "title", "journal", "deadline", F.col("deadline_marker").alias("marker"), F.size("journals").alias("names"))
+    return found
+
+
+@query("ref_h7_h8_page_outcomes", """
+WITH k AS (SELECT id, deadline AS found, CASE WHEN length(title) % 2 = 0 THEN DATE '2027-01-01' END AS known, length(id) % 3 = 1 AS marked FROM collections WHERE title IS NOT NULL)
+SELECT id, coalesce(found, known) AS deadline, CASE WHEN coalesce(found, known) IS NULL THEN 'not_listed' ELSE 'listed' END AS deadline_status, found IS NULL AND known IS NOT NULL AS keeps, found IS NULL AND (known IS NOT NULL OR marked) AS parse_error, true AS checked FROM k""")
+def page_outcomes(spark, d):
+    from callweave.sources.details import apply_topic_details, topic_details
+
+    pages = _topic_pages(spark, d)
+    rows = pages.drop("html").withColumns({"deadline": F.when(F.length("title") % 2 == 0, F.lit("2027-01-01").cast("date")), "deadline_status": F.lit("not_checked")})
+    out = apply_topic_details(rows, topic_details(pages.select("url", "html")), now())
+    return out.select("id", "deadline", "deadline_status", "outcome.keeps", "outcome.parse_error", "checked")
+
+
+@query("ref_h10_collection_pages", f"""
+WITH c AS (SELECT id, {_collapse('title')} AS title, deadline, CASE WHEN status IN ('open', 'closed') THEN status ELSE 'unknown' END AS state, length(id) % 5 AS k FROM collections WHERE title IS NOT NULL AND length(regexp_replace(title, '[^\p{{L}}\p{{N}}]', '', 'g')) > 0),
+e AS (SELECT *, CASE WHEN k = 1 THEN 'status 403' WHEN k = 2 THEN 'another page' WHEN k = 3 AND state = 'unknown' THEN 'another title' END AS error FROM c)
+SELECT id, CASE WHEN error IS NULL THEN deadline END AS deadline, CASE WHEN error IS NULL THEN CASE WHEN deadline IS NULL THEN 'not_listed' ELSE 'listed' END END AS deadline_status, CASE WHEN error IS NULL THEN state END AS status, CASE WHEN error IS NULL AND k = 3 THEN 'Zzyzx' END AS title, error FROM e""")
+def collection_pages(spark, d):
+    from callweave.sources.details import collection_details
+
+    rows = load(spark, d, "collections").where("title is not null").where(F.length(F.regexp_replace("title", r"[^\p{L}\p{N}]", "")) > 0)
+    k = F.length("id") % 5
+    end = F.when(F.col("deadline").isNotNull(), F.concat(F.lit('<time data-test="end-date" datetime="'), F.col("deadline").cast("string"), F.lit('"></time>'))).otherwise("")
+    html = F.concat(F.lit("<main><h1>"), F.when(k == 3, "Zzyzx").otherwise(text.html_escape(F.col("title"))), F.lit('</h1><dd data-test="status">'), F.initcap(F.coalesce("status", F.lit(""))), F.lit("</dd>"), end, F.lit("</main>"))
+    address = F.concat(F.lit("https://nature.com/collections/"), F.regexp_replace(F.lower("id"), "[^a-z0-9]", ""))
+    there = F.when(k == 2, "https://www.nature.com/").otherwise(F.regexp_replace(address, "://nature", "://www.nature"))
+    return collection_details(rows.select("id", address.alias("wanted_url"), F.col("title").alias("wanted_title"), there.alias("final_url"), F.when(k == 1, 403).otherwise(200).alias("code"), html.alias("html"), today().alias("today")))
+
+
+@query("ref_l7_h13_addresses", "SELECT source_key, url || '|' || url || '/more' AS urls, 'https://www.' || replace(split_part(url, '://', 2), 'www.', '') AS asked FROM sources")
+def addresses(spark, d):
+    from callweave.sources.details import request_url, source_urls
+
+    rows = load(spark, d, "sources")
+    official = F.regexp_replace("url", r"^https?://(?:www\.)?", "https://www.")
+    urls = source_urls(F.col("url"), F.array(F.concat("url", F.lit("/more")), F.col("url")))
+    return rows.select("source_key", joined(F.array_sort(urls)).alias("urls"), request_url(F.col("url"), official).alias("asked"))
+
+
+@query("ref_d1_parse_date", """
+SELECT id, f.k AS form, CASE WHEN f.k < 5 THEN deadline END AS day FROM collections, (VALUES (0), (1), (2), (3), (4), (5), (6)) f(k) WHERE deadline IS NOT NULL""")
+def parsed_dates(spark, d):
+    rows = load(spark, d, "collections").where("deadline is not null")
+    day = lambda form: F.date_format("deadline", form)
+    forms = F.array(day("d MMMM yyyy"), F.concat(F.lit("Deadline: "), day("MMMM d, yyyy")), day("yyyy-MM-dd"), F.concat(F.lit("Manuscript Submission Deadline "), day("d MMM yyyy")), F.concat(day("d"), F.lit("th of "), day("MMMM yyyy")), day("MMMM yyyy"), day("d MMMM"))
+    return rows.select("id", F.posexplode(forms).alias("form", "said")).select("id", "form", D.parse_date(F.col("said")).alias("day"))
+
+
+def _ruled_sql() -> str:
+    blob = "lower(array_to_string(list_filter(list_concat([journal], coalesce(journals, [])), lambda v: v IS NOT NULL), ' '))"
+    tests = [f"contains({blob}, '{r['match'].lower()}')" + (f" AND source_key = '{r['when_source']}'" if r.get("when_source") else "") for r in RULES]
+    return "coalesce(" + " OR ".join(f"({t})" for t in tests) + ", false)"
+
+
+@query("ref_m3_method", f"SELECT record_id, CASE WHEN {_ruled_sql()} THEN 'source_rule+keyword' ELSE 'keyword' END AS method FROM raw_records")
+def classification_methods(spark, d):
+    return C.classify(load(spark, d, "raw_records"), KEYWORDS, RULES).select("record_id", F.col("classification_method").alias("method"))
