@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from callweave.functions.arrays import empty
 from callweave.functions.text import TOPIC_ALIASES, TOPIC_ITEMS, TOPIC_STOPWORDS, distinct_ignoring_case, strip, topic_label, topic_list
+from callweave.session import settle
 
 
 def topic_counts(df: DataFrame, id_column: str = "id", topics: str = "topics") -> DataFrame:
@@ -44,8 +45,11 @@ def catalog_matches(df: DataFrame, terms: DataFrame, id_column: str = "id", most
 
     A needle is looked up by its first word: an equi-join of a text's words with the needles' first words, then the
     whole needle is tested. A needle without ASCII letter or digit is looked up by its first two characters, among the
-    pairs of neighbours in the text. No pair of text and term is formed without a common word or pair.
+    pairs of neighbours in the text. No pair of text and term is formed without a common word or pair. A catalog of at most
+    ``most_terms`` terms is sent to the executors, so that texts are tested where they are; with a larger one only ids and
+    words are shuffled, and each text once. Both ways give the same rows.
     """
+    terms = settle(terms)
     text = F.lower(F.array_join(F.filter(F.array("title", "summary"), lambda t: t.isNotNull() & (t != "")), " "))
     first = lambda c: F.regexp_extract(c, r"[a-z0-9]+", 0)
     needles = terms.select("key", "label", "n", F.explode("needles").alias("needle"))
@@ -53,9 +57,12 @@ def catalog_matches(df: DataFrame, terms: DataFrame, id_column: str = "id", most
     texts = df.select(id_column, text.alias("text")).where("text <> ''")
     held = lambda pattern: F.regexp_extract_all("text", F.lit(pattern), 1)
     words = F.concat(held("([a-z0-9]+)"), held(r"(?=([^a-z0-9\s][^a-z0-9]))"), held(r"([^a-z0-9\s])"))
-    worded = texts.select(id_column, F.explode(F.array_distinct(words)).alias("word"))
-    asked = worded.join(needles, "word").drop("word").withColumnRenamed(id_column, "_id")
-    pairs = texts.join(asked, texts[id_column].eqNullSafe(asked["_id"])).drop("_id")  # texts do not go along with each of their words
+    if terms.limit(most_terms + 1).count() <= most_terms:
+        pairs = texts.withColumn("word", F.explode(F.array_distinct(words))).join(F.broadcast(needles), "word").drop("word")
+    else:
+        worded = texts.select(id_column, F.explode(F.array_distinct(words)).alias("word"))
+        asked = worded.join(needles, "word").drop("word").withColumnRenamed(id_column, "_id")
+        pairs = texts.join(asked, texts[id_column].eqNullSafe(asked["_id"])).drop("_id")  # texts do not go along with each of their words
     found = pairs.where(F.contains("text", "needle")).where(F.expr(r"text rlike concat('(?<![a-z0-9])\\Q', needle, '\\E(?![a-z0-9])')"))
     each = found.groupBy(id_column, "key").agg(F.first("label").alias("label"), F.first("n").alias("n"))
     return each.groupBy(id_column).agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "key", "label"))), lambda s: s["label"]).alias("matches"))

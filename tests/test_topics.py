@@ -9,6 +9,14 @@ TEXTS = {
 }
 
 
+def test_a_large_catalog_gives_what_a_small_one_gives(spark):
+    rows = [(str(i), f"{a} of {b}", f"On {b} and {c}.") for i, (a, b, c) in enumerate([("Sleep", "robots", "遠隔操作"), ("gaze cueing", "touch", "VR sleep"), (None, "sleeping", "vr"), ("x", "C++ toolkits", "gaze")])]
+    calls = spark.createDataFrame(rows, "id string, title string, summary string")
+    terms = spark.createDataFrame([(k, k, n, [k]) for n, k in enumerate(["sleep", "gaze", "gaze cueing", "遠隔操作", "c++ toolkits", "vr", "touch"])], "key string, label string, n int, needles array<string>")
+    told = lambda most: {r["id"]: r["matches"] for r in T.catalog_matches(calls, terms, most_terms=most).collect()}
+    assert told(0) == told(5_000) and told(0)["1"] == ["touch", "vr", "gaze cueing", "gaze", "sleep"]
+
+
 def test_terms_without_ascii_are_matched(spark):
     terms = spark.createDataFrame([(t, t.upper(), 1, [t]) for t in TERMS], "key string, label string, n int, needles array<string>")
     calls = spark.createDataFrame([(i, *x, "open", None) for i, x in TEXTS.items()], CALLS)
