@@ -154,6 +154,18 @@ def look_hashes(df: DataFrame, id_column: str, fields: list[str]) -> DataFrame:
     return df.select(id_column, *fields).mapInArrow(_run_sql(sql), f"field_name string, id {kind}, form binary, raw binary")
 
 
+def look_classes(df: DataFrame, id_column: str, fields: list[str]) -> DataFrame:
+    """(field_name, id, class, links): one row for each non-blank value, the class of all that look like it, and with how many
+    rows that are not the same string it is linked. The pairs of ``same_look_pairs`` without spelling them out: two counts,
+    combined before the shuffle, so that a hot text is no burden."""
+    rows = settle(look_hashes(df, id_column, fields))
+    same = rows.groupBy("field_name", "form", "raw").agg(F.count("*").alias("same"))
+    alike = same.groupBy("field_name", "form").agg(F.sum("same").alias("alike"))
+    counted = same.join(alike, ["field_name", "form"]).where("alike > same")
+    linked = rows.join(counted, ["field_name", "form", "raw"], "left")
+    return linked.select("field_name", "id", F.lower(F.hex("form")).alias("class"), F.coalesce(F.col("alike") - F.col("same"), F.lit(0)).alias("links"))
+
+
 def same_look_pairs(df: DataFrame, id_column: str, fields: list[str]) -> DataFrame:
     """(field_name, id_a, id_b), a < b: rows whose values of a field differ as strings and have one form.
 
