@@ -162,6 +162,15 @@ def parses(entry: str) -> dict[tuple[str, ...], str]:
     return {p: d for p, d in found.items() if p}
 
 
+def only_parse(entry: str) -> tuple[tuple[str, ...], str] | None:
+    """The parse and dialect of an entry that has one only, an empty parse where nothing is left; None where there are several."""
+    text, best = _begin(entry)
+    if text is not None and (whole := parse(text, None, True)) and whole != best:
+        return None
+    options = parses(entry)
+    return next(iter(options.items()), ((), WHOLE)) if len(options) < 2 else None
+
+
 def _hash(value: str) -> int:
     """A signed hash of a value, case aside."""
     return xxhash.xxh3_64_intdigest(value.lower()) - (1 << 63)
@@ -188,12 +197,25 @@ class Codes:
     rare_dialect: float = 4.0
 
 
+class _Letters(dict):
+    """The bits of characters; those never counted are all rare."""
+
+    def __init__(self, codes: Codes):
+        super().__init__(codes.letters)
+        self.rare = codes.rare_letter
+
+    def __missing__(self, c: str) -> float:
+        return self.rare
+
+
 class Scorer:
     """The bits of values and parses under given codes, with a worker's memory."""
 
     def __init__(self, codes: Codes):
         self.codes, self.table = codes, np.frombuffer(codes.table or bytes(4 * ROWS << codes.bits), np.uint32)
         self.known: dict[str, float] = {}
+        self.letters = _Letters(codes)
+        self.least_letter = min([*codes.letters.values(), codes.rare_letter])
 
     def value(self, value: str) -> float:
         if (own := self.known.get(value)) is None:
@@ -203,22 +225,41 @@ class Scorer:
         return own
 
     def _value(self, value: str) -> float:
-        codes = self.codes
-        letter, rare = codes.letters.get, codes.rare_letter
-        spelled = codes.escape + codes.stop + sum([letter(c, rare) for c in value.lower()])
+        spelled = self.codes.escape + self.codes.stop + sum(map(self.letters.__getitem__, value.lower()))
+        found = self._found(value)
+        return spelled if found is None else min(spelled, found)
+
+    def _found(self, value: str) -> float | None:
+        """The bits of a value that the table knows."""
         h = _hash(value)
-        for s in _slots(h, codes.bits):
+        for s in _slots(h, self.codes.bits):
             held = int(self.table[s])
             if held and held & _PART == h & _PART:
-                return min(spelled, (held >> 24) / 4)
-        return spelled
+                return (held >> 24) / 4
+        return None
+
+    def _least(self, value: str) -> float:
+        """Bits that a value needs at least; not more than ``value`` gives."""
+        if (own := self.known.get(value)) is not None:
+            return own
+        spelled = self.codes.escape + self.codes.stop + len(value) * self.least_letter
+        found = self._found(value)
+        return spelled if found is None else min(spelled, found)
 
     def cheapest(self, options: dict[tuple[str, ...], str]) -> tuple[str, ...]:
         """The parse with the shortest description; of equally short ones the finest. One more bit a value tells that it goes on."""
         if len(options) < 2:
             return next(iter(options), ())
         dialect, rare = self.codes.dialects.get, self.codes.rare_dialect
-        return min(options, key=lambda p: (round(dialect(options[p], rare) + sum(map(self.value, p)) + len(p), 3), -len(p), p))
+        best = None
+        for p, d in options.items():
+            fixed = dialect(d, rare) + len(p)
+            if best is not None and fixed + sum(map(self._least, p)) > best[0] + 0.001:
+                continue  # it cannot be cheaper
+            own = round(fixed + sum(map(self.value, p)), 3), -len(p), p
+            if best is None or own < best:
+                best = own
+        return best[2]
 
 
 _PART = (1 << 24) - 1
@@ -269,8 +310,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if entry not in known:
                 if len(known) > CACHED:
                     known.clear()
-                options = parses(entry)
-                known[entry] = next(iter(options.items()), ((), WHOLE)) if len(options) < 2 else None
+                known[entry] = only_parse(entry)
             if (own := known[entry]) is None:
                 counts.open[entry] += n
             elif own[0]:
@@ -280,14 +320,29 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counts.rows()
 
 
+_OPEN = "entry string, n long, parses array<array<string>>, dialects array<string>"
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (entry, n) with all their parses."""
+    for batch in batches:
+        options = [parses(e) for e in batch.column(0).to_pylist()]
+        found = pa.array([list(map(list, o)) for o in options], pa.list_(pa.list_(pa.string())))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found, pa.array([list(o.values()) for o in options], pa.list_(pa.string()))], ["entry", "n", "parses", "dialects"])
+
+
+def _options(batch: pa.RecordBatch) -> Iterator[dict[tuple[str, ...], str]]:
+    for found, dialects in zip(batch.column("parses").to_pylist(), batch.column("dialects").to_pylist(), strict=True):
+        yield dict(zip(map(tuple, found), dialects, strict=True))
+
+
 def _chosen(codes: Codes):
-    """Counts of the cheapest parses of the rows (entry, n)."""
+    """Counts of the cheapest parses of the rows (n, parses, dialects)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, scorer = _Counts(), Scorer(codes)
         for batch in batches:
-            for entry, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                options = parses(entry)
+            for options, n in zip(_options(batch), batch.column("n").to_pylist(), strict=True):
                 own = scorer.cheapest(options)
                 counts.add(own, options[own], n)
             if counts.full():
@@ -344,12 +399,12 @@ def _fit(counts: DataFrame) -> Codes:
 
 
 def fitted_codes(df: DataFrame, column: str, rounds: int = 2) -> tuple[Codes, DataFrame]:
-    """The codes of ``column`` (array of strings), and the distinct entries that have several parses."""
+    """The codes of ``column`` (array of strings), and the distinct entries that have several parses, with these."""
     gathered = settle(df.select(column).where(F.col(column).isNotNull()).mapInArrow(_gather, _COUNTS))
-    open_ = settle(gathered.where("kind = 'open'").groupBy("entry").agg(F.sum("n").alias("n")))
+    open_ = settle(gathered.where("kind = 'open'").groupBy("entry").agg(F.sum("n").alias("n")).mapInArrow(_parsed, _OPEN))
     codes = _fit(gathered)
     for _ in range(rounds):
-        codes = _fit(gathered.unionByName(open_.mapInArrow(_chosen(codes), _COUNTS)))
+        codes = _fit(gathered.unionByName(open_.select("n", "parses", "dialects").mapInArrow(_chosen(codes), _COUNTS)))
     return codes, open_
 
 
@@ -361,13 +416,12 @@ def dialect_wins(df: DataFrame, column: str, rounds: int = 2) -> DataFrame:
         scorer = Scorer(codes)
         for batch in batches:
             rows = []
-            for entry in batch.column(0).to_pylist():
-                options = parses(entry)
+            for options in _options(batch):
                 own = scorer.cheapest(options)
                 rows.append((options[own], int(own != next(iter(options)))))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["dialect", "coarser"])
 
-    return open_.mapInArrow(run, "dialect string, coarser long").groupBy("dialect").agg(F.count("*").alias("entries"), F.sum("coarser").alias("coarser"))
+    return open_.select("parses", "dialects").mapInArrow(run, "dialect string, coarser long").groupBy("dialect").agg(F.count("*").alias("entries"), F.sum("coarser").alias("coarser"))
 
 
 class Splitter:

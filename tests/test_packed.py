@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -66,3 +67,19 @@ def test_worker_limits_change_nothing(spark, monkeypatch):
     df = spark.createDataFrame(rows, SCHEMA)
     want = sorted(map(tuple, unpack(df, "record_id", "kws").collect()))
     assert sorted(map(tuple, unpack(df.repartition(7), "record_id", "kws").collect())) == want
+
+
+def test_the_bounded_search_finds_the_least_description():
+    """Every parse scored in full gives the same choice, and an entry is open just where it has several parses."""
+    rng = random.Random(4)
+    words = ["sleep", "gaze cueing", "eye, hand", "VR", "C++", "it's", "10,000 steps", "x (a, b)", "'q'", '"r; s"', ""]
+    codes = Codes(letters={c: 2 + (ord(c) % 7) for c in "abcdefghijklmnopqrstuvwxyz ,;\"'"}, rare_letter=9.0, dialects={",": 1.0, ";": 2.0, "whole": 1.5})
+    for _ in range(400):
+        entry = rng.choice([",", "; ", " | ", " / ", ", ", "\n"]).join(rng.choices(words, k=rng.randint(1, 5))) + rng.choice(["", ";", ", x | y"])
+        options = parses(entry)
+        scorer = Scorer(codes)
+        full = min(options, key=lambda p: (round(codes.dialects.get(options[p], codes.rare_dialect) + sum(map(scorer.value, p)) + len(p), 3), -len(p), p)) if options else ()
+        assert Scorer(codes).cheapest(options) == full
+        assert (K.only_parse(entry) is None) == (len(options) > 1)
+        if len(options) < 2:
+            assert K.only_parse(entry)[0] == full
