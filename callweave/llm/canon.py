@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.llm.looks import INVISIBLE, LOOK_ALIKES
+from callweave.session import settle
 
 # Words that abbreviated titles leave out, and tails that describe an edition and not the title.
 SMALL_WORDS = frozenset("a an and de der des die du et for für fur für in la le les of on the to und y".split())
@@ -46,6 +47,8 @@ _MARKS = re.compile(r"[^\w]|_")
 _ACCENTS = re.compile("[\u0300-\u036f]")
 _HEAD = re.compile(r"^(.+?)\s*(?:/|:|\s[-–—])\s+(.+)$")
 NONE = -1
+#: Values that one task looks up in one shard.
+BLOCK_VALUES = 50_000
 
 
 def clean(text: str) -> str:
@@ -327,11 +330,14 @@ def known_heads(values: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def shard_winners(values: DataFrame, reference: DataFrame, shards: int) -> DataFrame:
-    """(value, id) by ``shards`` trees: every distinct value meets every shard in blocks, the winners merge by rank."""
+    """(value, id) by ``shards`` trees: every distinct value meets every shard in blocks of about ``BLOCK_VALUES``, the winners
+    merge by rank."""
+    values = settle(values)
+    blocks = max(1, -(-values.count() // BLOCK_VALUES))
     cut = reference.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
     told = values.join(known_heads(values, reference), "value", "left")
-    asked = told.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "value", "heads", F.pmod(F.xxhash64("value"), F.lit(64)).cast("int").alias("block"))
-    copies = cut.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    asked = told.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "value", "heads", F.pmod(F.xxhash64("value"), F.lit(blocks)).cast("int").alias("block"))
+    copies = cut.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         match = Matcher(right.to_dict("records"))

@@ -126,22 +126,35 @@ def local_tries(df: DataFrame, column: str, reader: Callable[[], Callable[[list]
     return df.select(column).where(F.col(column).isNotNull()).mapInArrow(run, _SUBTREES)
 
 
-def split_prefixes(subtrees: DataFrame, slots: int, least: int, deepest: int = 48) -> set[str]:
-    """Prefixes that hold more than max(least, all / slots) suffixes, level by level: at most ``slots`` a level."""
+def _shared(a: str, b: str) -> int:
+    """How many characters two terms begin with alike."""
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def split_prefixes(subtrees: DataFrame, slots: int, least: int) -> set[str]:
+    """Prefixes that hold more than max(least, all / slots) suffixes: at most ``slots`` at each depth where they part.
+
+    A level is one job. All terms under a prefix begin as its first and last one do, so the search goes on where the first of
+    the prefixes parts, however long they are.
+    """
     held = subtrees.where("prefix is not null")
     total = held.agg(F.sum(F.size("suffixes"))).first()[0] or 0
     share = max(least, total // slots)
     if total <= share:
         return set()
-    found, level = {""}, [""]
+    found, level, depth = {""}, [""], 1
     words = held.select(F.explode(F.expr("transform(suffixes, s -> concat(prefix, s))")).alias("term"))
-    for depth in range(1, deepest + 1):
+    while True:
         words = words.where(F.substring("term", 1, depth - 1).isin(level)) if depth > 1 and len(level) < 64 else words
-        level = [r[0] for r in words.where(F.length("term") >= depth).groupBy(F.substring("term", 1, depth).alias("p")).count().where(F.col("count") > share).select("p").collect()]
-        if not level:
-            break
-        found.update(level)
-    return found
+        heavy = (
+            words.where(F.length("term") >= depth).groupBy(F.substring("term", 1, depth).alias("p"))
+            .agg(F.count("*").alias("n"), F.min("term").alias("lo"), F.max("term").alias("hi")).where(F.col("n") > share).select("lo", "hi").collect()  # at most slots rows
+        )
+        if not heavy:
+            return found
+        parts = min(_shared(r["lo"], r["hi"]) for r in heavy)
+        found.update(r["lo"][:k] for r in heavy for k in range(depth, parts + 1))
+        level, depth = sorted({r["lo"][:parts] for r in heavy}), parts + 1
 
 
 def _route(term: str, split: set[str]) -> str:
@@ -155,7 +168,7 @@ def _route(term: str, split: set[str]) -> str:
 def merge_tries(subtrees: DataFrame, slots: int = 4096, least: int = 20_000) -> DataFrame:
     """(term, occurrences, records) of all workers together."""
     split = split_prefixes(subtrees, slots, least)
-    shared = subtrees.sparkSession.sparkContext.broadcast(split)  # at most slots strings for each of 48 levels
+    shared = subtrees.sparkSession.sparkContext.broadcast(split)  # at most slots paths of the trie of prefixes
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = shared.value

@@ -54,3 +54,17 @@ def test_trie_holds_what_was_put(terms, limit):
     held = {p + s: c for p, box in trie.containers() for s, c in box.items()}
     assert held == {t: [n, 2 * n] for t, n in Counter(terms).items()}
     assert trie.size == len(held)
+
+
+def test_long_common_prefixes_are_split_where_they_part(spark):
+    from callweave.llm.terms import _route, split_prefixes
+
+    stem = "x" * 300
+    terms = [f"{stem}{a}{i:03}" for a in "ab" for i in range(120)] + ["y", "é" * 80 + "1", "é" * 80 + "2"]
+    subtrees = spark.createDataFrame([("", terms, [1] * len(terms), [1] * len(terms))], "prefix string, suffixes array<string>, occurrences array<long>, records array<long>")
+    split = split_prefixes(subtrees, 8, 30)
+    routes = {}
+    for t in terms:
+        routes.setdefault(_route(t, split), []).append(t)
+    assert {"", "x", stem, stem + "a", stem + "b0"} <= split and "y" not in split
+    assert max(map(len, routes.values())) <= 30
