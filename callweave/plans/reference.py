@@ -754,7 +754,7 @@ def escapes(spark, d):
     return load(spark, d, "raw_records").select("record_id", text.ascii_digits(F.col("title")).alias("digits"), text.html_escape(F.col("title")).alias("escaped"))
 
 
-@query("ref_p19_boilerplate", f"SELECT record_id, length({_collapse('title')}) < 4 OR (length({_collapse('title')}) < 8 AND NOT regexp_matches(title, '[\\x{{3040}}-\\x{{30FF}}\\x{{4E00}}-\\x{{9FFF}}]')) AS skip FROM raw_records WHERE title IS NOT NULL")
+@query("ref_p19_boilerplate", f"SELECT record_id, length({_collapse('title')}) < 4 OR (length({_collapse('title')}) < 8 AND NOT regexp_matches(title, '[\\x{{3040}}-\\x{{30FF}}\\x{{4E00}}-\\x{{9FFF}}]')) OR lower({_collapse('title')}) LIKE '%call for papers' OR list_bool_or(list_transform(['regular paper', '開発報告', 'always welcome', 'filter call', 'login', 'sign in', 'cookie', 'privacy', 'propose a feature issue'], lambda w: contains(lower({_collapse('title')}), w))) AS skip FROM raw_records WHERE title IS NOT NULL")
 def boilerplate(spark, d):
     return load(spark, d, "raw_records").where("title is not null").select("record_id", text.boilerplate_title(F.col("title")).alias("skip"))
 

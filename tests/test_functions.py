@@ -57,7 +57,7 @@ def test_titles_keywords_and_topics(spark):
     assert labels == ["HRI", "sleep", None, None, None]
     assert values(spark, [["a; A; b", None, "c", "d, e, f, g, h, i, j"]], text.topic_list(V("v")), kind="array<string>") == [["a", "b", "c", "d", "e", "f", "g", "h"]]
     assert values(spark, [None], text.topic_list(V("v")), kind="array<string>") == [[]]
-    assert values(spark, ["Home", "Read more", "A call about sleep", "特集：触覚", None], text.boilerplate_title(V("v"))) == [True, True, False, False, True]
+    assert values(spark, ["Home", "Read more", "A call about sleep", "特集：触覚", None, "Privacy and cookies", "Our Call for Papers", "Call for papers: sleep", "開発報告の募集"], text.boilerplate_title(V("v"))) == [True, False, False, False, True, True, True, False, True]
     assert values(spark, ["<p>a&nbsp;b</p><script>x</script>&amp;"], text.html_to_text(V("v"))) == ["a b &"]
     assert values(spark, ["<h1>t</h1>x<h2>a</h2>1<h3 class='q'>b</h3>2"], F.size(text.heading_blocks(V("v")))) == [3]
     assert values(spark, ["Sleep and memory"], text.title_overlap(V("v"), F.lit("memory AND sleep, again"))) == [1.0]
