@@ -227,10 +227,11 @@ def run_sources(inputs: dict[str, DataFrame], sources: DataFrame, today: Column)
     return out
 
 
-def with_details(listing_rows: DataFrame, pages: DataFrame) -> DataFrame:
+def with_details(listing_rows: DataFrame, pages: DataFrame, checked_at: Column | None = None) -> DataFrame:
     """Records joined to their detail pages (url, html): page title overlap, dates around an extension, and verified absence.
 
-    A page that is another one (its title shares less than four words in five) changes nothing; a date once known stays.
+    A page that is another one (its title shares less than four words in five) changes nothing; a date once known stays. With
+    ``checked_at`` a verified absence has its time in ``raw_deadline_checked_at``.
     """
     plain = text.html_to_text(F.col("html"))
     seen = pages.select(canonical_url(F.col("url")).alias("url"), plain.alias("page_text"), text.html_to_text(F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)).alias("page_title"))
@@ -238,8 +239,11 @@ def with_details(listing_rows: DataFrame, pages: DataFrame) -> DataFrame:
     same = F.coalesce(text.title_overlap(F.col("title"), F.col("page_title")) >= 0.8, F.lit(False))
     lines = F.filter(F.split("page_text", r"(?<=[.;!?])\s+"), lambda s: s.rlike(r"(?i)deadline|due|closes?|exten"))
     found = F.when(same, latest_deadline(lines))
+    absent = same & found.isNull() & F.col("deadline").isNull()
+    at = {"raw_deadline_checked_at": F.when(absent, checked_at).otherwise(F.col("raw_deadline_checked_at") if "raw_deadline_checked_at" in listing_rows.columns else None)} if checked_at is not None else {}
     return both.select(
-        *[c for c in listing_rows.columns if c not in ("deadline", "raw_deadline_status")],
+        *[c for c in listing_rows.columns if c not in ("deadline", "raw_deadline_status", *at)],
         F.coalesce(found, "deadline").alias("deadline"),
-        F.when(same & found.isNull() & F.col("deadline").isNull(), "not_listed").otherwise(F.col("raw_deadline_status")).alias("raw_deadline_status"),
+        F.when(absent, "not_listed").otherwise(F.col("raw_deadline_status")).alias("raw_deadline_status"),
+        *[v.alias(c) for c, v in at.items()],
     )

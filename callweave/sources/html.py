@@ -277,6 +277,20 @@ def next_page(html: str, current: str) -> str | None:
     return None
 
 
+def next_numbered_page(html: str, current: str, hosts: tuple[str, ...], names: tuple[str, ...] = ("p", "page")) -> str | None:
+    """The next page of a listing that numbers its pages: a link that calls itself the next one and has a higher number, else
+    the link to the following number; of the same path and an allowed host."""
+    from urllib.parse import parse_qsl, urlsplit
+
+    bare = lambda host: (host or "").lower().removeprefix("www.")
+    number = lambda address: next((int(v) for k, v in parse_qsl(urlsplit(address).query) if k in names and v.isdigit()), 1)
+    path, here, allowed = urlsplit(current).path.rstrip("/"), number(current), {bare(h) for h in hosts}
+    links = [(a, urljoin(current, a.attrs["href"])) for a in select(tree(html), "a[href]")]
+    links = [(a, u) for a, u in links if bare(urlsplit(u).hostname) in allowed and urlsplit(u).path.rstrip("/") == path]
+    named = [u for a, u in links if ("next" in a.attrs.get("rel", "").lower().split() or a.text().casefold() in ("next", "next page", ">")) and number(u) > here]
+    return next(iter(named + [u for _, u in links if number(u) == here + 1]), None)
+
+
 def page_is(html: Column, url: Column) -> Column:
     """True where a page names itself by the canonical form of ``url``."""
     from callweave.functions.url import canonical_url

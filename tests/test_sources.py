@@ -128,3 +128,37 @@ def test_commit_is_all_or_nothing(spark, tmp_path):
         files.commit(good.withColumn("title", F.lit("")), truth, {table: lines})
     assert spark.read.json(truth).first()["title"] == "t"
     assert sorted(p.name for p in tmp_path.iterdir()) == ["table", "truth"]
+
+
+def test_next_numbered_page():
+    hosts, here = ("www.c.org",), "https://c.org/l?p=2"
+    assert html.next_numbered_page('<a href="?p=1">1</a><a href="?p=3">3</a><a href="?p=9">next</a>', here, hosts) == "https://c.org/l?p=9"
+    assert html.next_numbered_page('<a href="?p=1">1</a><a href="?p=3">3</a><a href="?p=1">next</a>', here, hosts) == "https://c.org/l?p=3"
+    assert html.next_numbered_page('<a rel="next" href="https://o.org/l?p=3">3</a><a href="/m?p=3">3</a><a href="?p=5">5</a>', here, hosts) is None
+
+
+def test_verified_absence_reaches_the_record(spark):
+    """A listing that says "ongoing" gives a record without deadline that counts as checked."""
+    from callweave.operators import merge
+
+    sources = spark.createDataFrame([("springer", "https://link.springer.com/l", "Springer", "J", "collection", ["link.springer.com"])], SOURCES)
+    page = '<article class="app-card-collection"><h3><a class="app-card-collection__heading-link" href="/collections/abc">Sleep and touch at work</a></h3><dl><dt>Submission status</dt><dd>Open for submissions</dd><dt>Submission deadline</dt><dd>Ongoing</dd></dl></article>'
+    today, now = F.lit("2026-10-15").cast("date"), F.lit("2026-10-15 12:00:00").cast("timestamp_ntz")
+    raw = connectors.REGISTRY["springer"](spark.createDataFrame([("springer", "https://link.springer.com/l", page)], "source_key string, url string, html string"), sources, today)
+    stored = spark.createDataFrame([], "id string, deadline date, deadline_status string, deadline_checked_at timestamp_ntz, status string, first_seen date")
+    (r,) = merge.carry_forward(raw.withColumn("id", F.col("publisher_id")), stored, now, today).collect()
+    assert (r["deadline"], r["deadline_status"], r["deadline_checked_at"]) == (None, "not_listed", dt.datetime(2026, 10, 15))
+    listing = spark.createDataFrame([("https://e.org/2", "Gaze", None, None)], "url string, title string, deadline date, raw_deadline_status string")
+    pages = spark.createDataFrame([("https://e.org/2", "<h1>Gaze</h1><p>Nothing</p>")], "url string, html string")
+    (r,) = connectors.with_details(listing, pages, now).collect()
+    assert (r["raw_deadline_status"], r["raw_deadline_checked_at"]) == ("not_listed", dt.datetime(2026, 10, 15, 12))
+
+
+def test_saved_pages_by_source(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<p>a</p>")
+    (tmp_path / "b.html").write_text("<p>b</p>")
+    got = {(r["source_key"], r["html"]) for r in files.read_saved(spark, {"ka": str(tmp_path / "a.html"), "kb": str(tmp_path / "b.html")}).collect()}
+    assert got == {("ka", "<p>a</p>"), ("kb", "<p>b</p>")}
+    rows = spark.createDataFrame([("b", 1), ("a", None)], "id string, n int")
+    files.write_jsonl_plainly(rows.coalesce(1), str(tmp_path / "plain"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "plain")).collect()] == ['{"id":"b","n":1}', '{"id":"a","n":null}']
