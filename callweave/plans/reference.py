@@ -869,7 +869,7 @@ def page_outcomes(spark, d):
     return out.select("id", "deadline", "deadline_status", "outcome.keeps", "outcome.parse_error", "checked")
 
 
-@query("ref_h10_collection_pages", f"""
+@query("ref_h10_collection_pages", rf"""
 WITH c AS (SELECT id, {_collapse('title')} AS title, deadline, CASE WHEN status IN ('open', 'closed') THEN status ELSE 'unknown' END AS state, length(id) % 5 AS k FROM collections WHERE title IS NOT NULL AND length(regexp_replace(title, '[^\p{{L}}\p{{N}}]', '', 'g')) > 0),
 e AS (SELECT *, CASE WHEN k = 1 THEN 'status 403' WHEN k = 2 THEN 'another page' WHEN k = 3 AND state = 'unknown' THEN 'another title' END AS error FROM c)
 SELECT id, CASE WHEN error IS NULL THEN deadline END AS deadline, CASE WHEN error IS NULL THEN CASE WHEN deadline IS NULL THEN 'not_listed' ELSE 'listed' END END AS deadline_status, CASE WHEN error IS NULL THEN state END AS status, CASE WHEN error IS NULL AND k = 3 THEN 'Zzyzx' END AS title, error FROM e""")
