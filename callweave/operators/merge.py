@@ -170,6 +170,23 @@ def _folded(df: DataFrame, keys: list[str], order: list[str], names: dict[str, s
     return packed.select(*keys, merged.alias("r"))
 
 
+def _folds(rows: DataFrame, own: list[str], order: Sequence[str], columns: list[str]) -> DataFrame:
+    """``own`` and ``columns``: the rows of each key, the columns ``own``, merged in order."""
+    blocks = not {"metadata_checked_at", "content_hash"} & set(columns)
+    if blocks:
+        rows = rows.withColumns(_states(set(columns)))
+    names = {c: t for c, t in rows.dtypes if c not in own}
+    kind = rows.select(*names).schema.simpleString()
+    rows = rows.select(*own, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*names).alias("r"))
+    places = [f"_o{i}" for i in range(len(order))]
+    if blocks:
+        line = Window.partitionBy(*own).orderBy(*places)
+        rows = _folded(rows.withColumn("_b", F.floor((F.row_number().over(line) - 1) / BLOCK)), [*own, "_b"], places, names, kind)
+        places = ["_b"]
+    out = _folded(rows, own, places, names, kind).select(*own, "r.*")
+    return (out.withColumns(_of_states(columns, set(names))) if blocks else out).select(*own, *columns)
+
+
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row for each key: its rows merged in order. Rows with a null key pass unchanged.
 
@@ -179,24 +196,12 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     those columns a key's rows are one list: listings of one call, few by nature.
     """
     columns = df.columns
-    blocks = not {"metadata_checked_at", "content_hash"} & set(columns)
-    if blocks:
-        df = df.withColumns(_states(set(columns)))
-    names = dict(df.dtypes)
     keyed = df
     for k in keys:
         keyed = keyed.where(F.col(k).isNotNull())
     loose = df.where(" or ".join(f"`{k}` is null" for k in keys))
-    kind = df.schema.simpleString()
-    own = [f"_{k}" for k in keys]
-    rows = keyed.select(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)], *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*names).alias("r"))
-    places = [f"_o{i}" for i in range(len(order))]
-    if blocks:
-        line = Window.partitionBy(*own).orderBy(*places)
-        rows = _folded(rows.withColumn("_b", F.floor((F.row_number().over(line) - 1) / BLOCK)), [*own, "_b"], places, names, kind)
-        places = ["_b"]
-    out = _folded(rows, own, places, names, kind).select("r.*").unionByName(loose)
-    return out.withColumns(_of_states(columns, set(names))).select(columns) if blocks else out
+    own = {f"_by_{k}": F.col(k) for k in keys}
+    return _folds(keyed.withColumns(own), list(own), order, columns).select(columns).unionByName(loose)
 
 
 def collapse_business_keys(df: DataFrame) -> DataFrame:
@@ -213,28 +218,68 @@ def business_key_owner(df: DataFrame, position: str) -> DataFrame:
     return keyed.groupBy("publisher", "publisher_id").agg(F.min_by("id", F.struct(position, "id")).alias("id"))
 
 
+def call_key(id_column: Column) -> Column:
+    """The business key as one text; a row without one gets a key of its own, made of ``id_column``, so that such rows
+    spread over all partitions and match nothing else."""
+    return F.when(_has_key(), F.concat_ws("\0", "publisher", "publisher_id")).otherwise(F.concat(F.lit("\0\0"), id_column))
+
+
+def _has_key() -> Column:
+    return (F.coalesce(F.col("publisher"), F.lit("")) != "") & (F.coalesce(F.col("publisher_id"), F.lit("")) != "")
+
+
+def key_ids(rows: DataFrame, stored: DataFrame, position: str) -> DataFrame:
+    """(_key, _id): the id that the rows of a business key get: that of its owner in ``stored``, else ``_new`` of the first of
+    ``rows``, which have ``_key`` (``call_key``) and ``_new``."""
+    owner = business_key_owner(stored, position).select(call_key(F.col("id")).alias("_key"), F.col("id").alias("_owner"))
+    # Within the run the first row of a key decides: an aggregate and a join, so that a large key is no window's burden.
+    first = rows.where(_has_key()).groupBy("_key").agg(F.min_by("_new", F.struct(position, "_new")).alias("_first"))
+    return owner.join(first, "_key", "full_outer").select("_key", F.coalesce("_owner", "_first").alias("_id"))
+
+
 def adopt_ids(incoming: DataFrame, stored: DataFrame, new_id: Column, position: str) -> DataFrame:
     """``incoming`` with a column ``id``: the owner of its business key in ``stored``, else of the first incoming row
     that has the key, else ``new_id``."""
-    keyed = (F.coalesce(F.col("publisher"), F.lit("")) != "") & (F.coalesce(F.col("publisher_id"), F.lit("")) != "")
-    key = F.concat_ws("\0", "publisher", "publisher_id")
-    owner = business_key_owner(stored, position).select(key.alias("_key"), F.col("id").alias("_owner"))
-    # A row without business key gets one of its own, so that such rows spread over all partitions and match nothing.
-    rows = incoming.withColumn("_new", new_id).withColumn("_key", F.when(keyed, key).otherwise(F.concat(F.lit("\0\0"), "_new")))
-    # Within the run the first row of a key decides: an aggregate and a join, so that a large key is no window's burden.
-    first = rows.where(keyed).groupBy("_key").agg(F.min_by("_new", F.struct(position, "_new")).alias("_first"))
-    names = owner.join(first, "_key", "full_outer").select("_key", F.coalesce("_owner", "_first").alias("_id"))
-    return rows.join(names, "_key", "left").withColumn("id", F.coalesce("_id", "_new")).drop("_new", "_key", "_id")
+    rows = incoming.withColumn("_new", new_id).withColumn("_key", call_key(F.col("_new")))
+    return rows.join(key_ids(rows, stored, position), "_key", "left").withColumn("id", F.coalesce("_id", "_new")).drop("_new", "_key", "_id")
+
+
+def split_calls(names: DataFrame, rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """(_key): keys of calls whose id may occur under another key too, or in several stored rows without business key,
+    or be null.
+
+    All rows of any other id, incoming and stored, have one key. ``names``: ``key_ids`` of ``rows``; ``stored`` has ``_key``.
+    """
+    one_row = lambda df, i, n: df.select(F.col(i).alias("i"), "_key", F.lit(n).alias("n"))
+    loose = rows.where(~_has_key() & F.col("_new").isNotNull()).select("_new", "_key").distinct()
+    each = one_row(names.where("_id is not null"), "_id", 0).unionByName(one_row(loose, "_new", 0)).unionByName(one_row(stored.where(~_has_key() & F.col("id").isNotNull()), "id", 1))
+    same = Window.partitionBy("i")
+    split = each.withColumn("split", (F.min("_key").over(same) != F.max("_key").over(same)) | (F.sum("n").over(same) > 1)).where("split")
+    unnamed = names.where("_id is null").select("_key").unionByName(stored.where("id is null and _key is not null").select("_key"))
+    return split.select("_key").unionByName(unnamed).distinct()
+
+
+def upsert_by_key(stored: DataFrame, incoming: DataFrame, position: str) -> DataFrame:
+    """``upsert`` of the rows of ``incoming`` into ``stored`` collapsed by business key, for rows partitioned by ``_key``, which
+    all rows of an id share: they are merged where they are."""
+    columns = [c for c in stored.columns if c != "_key"]
+    old, new = _folds(stored, ["_key"], ["id"], columns), _folds(incoming, ["_key"], [position], [*columns, position])
+    both = old.select("_key", F.struct(*columns).alias("cur")).join(new.select("_key", F.struct(*columns).alias("inc")), "_key", "full_outer")
+    return _merged(both, stored.select(columns))
+
+
+def _merged(both: DataFrame, like: DataFrame) -> DataFrame:
+    kind = like.schema.simpleString()
+    merged = F.when(F.col("cur").isNull(), F.col("inc").cast(kind)).when(F.col("inc").isNull(), F.col("cur").cast(kind)).otherwise(merge_rows(F.col("cur"), F.col("inc"), dict(like.dtypes)).cast(kind))
+    return both.select(merged.alias("m")).select("m.*")
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, position: str | None = None) -> DataFrame:
     """Stored rows with incoming ones merged in by id; several incoming rows of an id fold in order of ``position`` first."""
     names = dict(stored.dtypes)
     new = fold(incoming.select(*names, *([position] if position and position not in names else [])), ["id"], [position]).select(*names) if position else incoming.select(*names)
-    kind = stored.schema.simpleString()
     both = stored.select("id", F.struct(*names).alias("cur")).join(new.select("id", F.struct(*names).alias("inc")), "id", "full_outer")
-    merged = F.when(F.col("cur").isNull(), F.col("inc").cast(kind)).when(F.col("inc").isNull(), F.col("cur").cast(kind)).otherwise(merge_rows(F.col("cur"), F.col("inc"), names).cast(kind))
-    return both.select(merged.alias("m")).select("m.*")
+    return _merged(both, stored)
 
 
 def carry_forward(incoming: DataFrame, stored: DataFrame, now: Column, today: Column) -> DataFrame:

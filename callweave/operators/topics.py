@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,6 +41,11 @@ def catalog(df: DataFrame, aliases: dict[str, str] = TOPIC_ALIASES, least: int =
     return terms.where(((F.col("n") >= least) | F.col("target").isNotNull()) & ~F.col("key").isin(*TOPIC_STOPWORDS) & short).drop("target")
 
 
+def _said() -> Column:
+    """What matching reads of a call: title and summary in lower case."""
+    return F.lower(F.array_join(F.filter(F.array("title", "summary"), lambda t: t.isNotNull() & (t != "")), " "))
+
+
 def catalog_matches(df: DataFrame, terms: DataFrame, id_column: str = "id", most_terms: int = 5_000) -> DataFrame:
     """(id, matches): the labels whose needle stands in title or summary between other characters, by count and key.
 
@@ -50,7 +56,7 @@ def catalog_matches(df: DataFrame, terms: DataFrame, id_column: str = "id", most
     words are shuffled, and each text once. Both ways give the same rows.
     """
     terms = settle(terms)
-    text = F.lower(F.array_join(F.filter(F.array("title", "summary"), lambda t: t.isNotNull() & (t != "")), " "))
+    text = _said()
     first = lambda c: F.regexp_extract(c, r"[a-z0-9]+", 0)
     needles = terms.select("key", "label", "n", F.explode("needles").alias("needle"))
     needles = needles.withColumn("word", F.coalesce(F.nullif(first(F.col("needle")), F.lit("")), F.substring("needle", 1, 2)))
@@ -68,12 +74,66 @@ def catalog_matches(df: DataFrame, terms: DataFrame, id_column: str = "id", most
     return each.groupBy(id_column).agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "key", "label"))), lambda s: s["label"]).alias("matches"))
 
 
-def overlay(df: DataFrame, matches: DataFrame, id_column: str = "id", most: int = TOPIC_ITEMS) -> DataFrame:
-    """``df`` with catalog labels added to the topics of open calls that have fewer than ``most``."""
+def _laid(df: DataFrame, most: int) -> DataFrame:
     own = F.filter(F.coalesce("topics", empty()), lambda t: t.isNotNull() & (strip(t) != ""))
     added = topic_list(F.concat(own, F.col("matches")), None, most)
     room = (F.col("status") == "open") & F.col("matches").isNotNull() & (F.size(own) < most)
-    return df.join(matches, id_column, "left").withColumn("topics", F.when(room, added).otherwise(F.col("topics"))).drop("matches")
+    return df.withColumn("topics", F.when(room, added).otherwise(F.col("topics"))).drop("matches")
+
+
+def overlay(df: DataFrame, matches: DataFrame, id_column: str = "id", most: int = TOPIC_ITEMS) -> DataFrame:
+    """``df`` with catalog labels added to the topics of open calls that have fewer than ``most``."""
+    return _laid(df.join(matches, id_column, "left"), most)
+
+
+#: Bytes of needles and labels that are sent to every worker at most.
+SENT = 8 << 20
+_WORD, _MARK = re.compile("[a-z0-9]+"), re.compile(r"[^a-z0-9 \t\n\x0b\f\r]")
+
+
+def _holds(text: str, needle: str) -> bool:
+    at = text.find(needle)
+    while at >= 0:
+        if not _WORD.match(text[at - 1 : at]) and not _WORD.match(text[at + len(needle) : at + len(needle) + 1]):
+            return True
+        at = text.find(needle, at + 1)
+    return False
+
+
+def overlay_catalog(df: DataFrame, terms: DataFrame, id_column: str = "id", most: int = TOPIC_ITEMS, sent: int = SENT) -> DataFrame:
+    """``overlay`` of ``catalog_matches``. A catalog of at most ``sent`` bytes goes to the workers, and calls, which have ids of
+    their own, are matched where they are: nothing is shuffled. The needles are looked up as in ``catalog_matches``."""
+    terms = settle(terms)
+    needles = terms.select("key", "label", "n", F.explode("needles").alias("needle"))
+    weight = sum((F.octet_length(c) for c in ("key", "label", "needle")), F.lit(0))
+    if (needles.agg(F.sum(weight)).first()[0] or 0) > sent:
+        return overlay(df, catalog_matches(df, terms, id_column), id_column, most)
+    rows = sorted({(-r["n"], r["key"], r["label"], r["needle"]) for r in needles.toLocalIterator() if r["needle"]})
+    places = {x: i for i, x in enumerate(dict.fromkeys(r[:3] for r in rows))}
+    words: dict[str, list[tuple[int, str]]] = {}
+    for r in rows:
+        word = _WORD.search(r[3])
+        words.setdefault(word[0] if word else r[3][:2], []).append((places[r[:3]], r[3]))
+    shared = df.sparkSession.sparkContext.broadcast((words, [label for _, _, label in places]))
+    columns = df.columns
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, labels = shared.value
+        marks = any(not _WORD.match(w) for w in words)
+        for batch in batches:
+            out: list[list[str] | None] = []
+            for text in batch.column(len(columns)).to_pylist():
+                asked = words.keys() & _WORD.findall(text) if text else set()
+                if text and marks:
+                    for m in _MARK.finditer(text):
+                        asked |= {text[m.start()], text[m.start() : m.start() + 2]} & words.keys()
+                found = sorted({place for w in asked for place, needle in words[w] if _holds(text, needle)})
+                out.append([labels[p] for p in found] or None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.list_(pa.string()))], names=[*columns, "matches"])
+
+    # Rows without id match nothing, and those that are not open need no match.
+    asked = df.withColumn("_said", F.when(F.col(id_column).isNotNull() & (F.col("status") == "open"), _said()))
+    return _laid(asked.mapInArrow(match, df.select(*columns, F.lit(None).cast("array<string>").alias("matches")).schema), most)
 
 
 def publisher_topics(df: DataFrame, aliases: dict[str, str] = TOPIC_ALIASES) -> DataFrame:
